@@ -1,0 +1 @@
+"""Empty on purpose: every feature is a bounded daily batch over a date range."""

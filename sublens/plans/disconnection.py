@@ -9,7 +9,7 @@ from sublens.functions import decode
 from sublens.functions.helpers import latest
 from sublens.load_date import LoadDate
 from sublens.operators.joins import interval_join
-from sublens.operators.ordered import paired_in_order, previous_in_order
+from sublens.operators.ordered import paired_in_order
 from sublens.plans.customer_base import eligible_snapshots
 
 
@@ -47,22 +47,25 @@ def snapshots_with_blocks(tables, load_date) -> DataFrame:
 
 
 def status_changes(tables, load_date) -> DataFrame:
-    """Days on which the line status of an account differs from its previous day with a snapshot."""
+    """Days on which the line status of an account differs from its previous day with a snapshot.
+
+    Several snapshots or blocks on one day count as one state, the last by name, so that a blocked
+    state wins over ACTIVE.
+    """
     status = decode.snapshot_line_status(F.col("status"), F.col("blocked"), F.col("additionalinfo"))
     days = (
         snapshots_with_blocks(tables, load_date)
         .withColumn("line_status", status)
         .groupBy("accountnum", "snapshotdate")
-        .agg(F.min("line_status").alias("best"), F.max("line_status").alias("worst"))
+        .agg(F.max("line_status").alias("line_status"))
     )
-    # Alphabetical order is also the order of severity for the two states a blocked day can have
-    # next to each other, so one state per day is well defined: ACTIVE < DEACTIVE < SUSPENDED.
-    stream = previous_in_order(
-        days.select("accountnum", "snapshotdate", F.col("worst").alias("line_status")),
-        ["accountnum"],
-        ["snapshotdate"],
-        F.trunc("snapshotdate", "year"),
-        {"prev_status": "line_status", "prev_status_date": "snapshotdate"},
+    # One row per account and calendar day from here on, so the window stays short for any account.
+    by_day = Window.partitionBy("accountnum").orderBy("snapshotdate")
+    stream = days.withColumns(
+        {
+            "prev_status": F.lag("line_status").over(by_day),
+            "prev_status_date": F.lag("snapshotdate").over(by_day),
+        }
     )
     first_ever = F.lit("2017-01-01").cast("date")
     return stream.withColumns(
@@ -91,7 +94,8 @@ def disconnection_date(tables, load_date) -> DataFrame:
     edges = block_intervals(tables, load_date).select(
         "accountnum", _day_on_or_after("add_date").alias("from"), _day_on_or_after("remove_date").alias("to")
     )
-    steps = edges.where(F.col("from") < F.col("to")).select(
+    covering = F.col("accountnum").isNotNull() & (F.col("from") < F.col("to"))
+    steps = edges.where(covering).select(
         "accountnum",
         F.inline(
             F.array(

@@ -113,7 +113,7 @@ def data_sharing(tables, since: date = SHARING_SINCE) -> DataFrame:
     newest = first_per_key(
         donated,
         ["IN_ACCOUNT_NUMBER"],
-        [F.desc_nulls_last("EndDate"), F.desc("ActionHistoryId"), F.desc("share_id")],
+        [F.desc_nulls_last(c) for c in ("EndDate", "ActionHistoryId", "share_id", "CounterValue")],
     )
     megabytes = F.col("CounterValue") / 1024 / 1024
     on_current_plan = F.col("given_on") >= F.to_date("StartDate")

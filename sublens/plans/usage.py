@@ -23,7 +23,7 @@ VOICE_SERVICE = 1
 INCOMING, OUTGOING = 1, 2
 
 
-def test_accounts(tables) -> DataFrame:
+def excluded_accounts(tables) -> DataFrame:
     tests = tables["nobill_dim_test_accounts"].where(
         (F.col("accountnum") != "") & (F.col("exclusion_flag") == "INCLUDE")
     )
@@ -54,7 +54,7 @@ def counted_usage(tables, start: date, end: date) -> DataFrame:
 def without_test_accounts(per_account: DataFrame, tables, account: str) -> DataFrame:
     """Drop test accounts from rows that are already one per account, where the anti join is small."""
     text = per_account.withColumn("__account", F.col(account).cast("string"))
-    return not_in(text, "__account", test_accounts(tables)).drop("__account")
+    return not_in(text, "__account", excluded_accounts(tables)).drop("__account")
 
 
 def _service(group: str, kind: str | None = None, traffic: str | None = None) -> Column:

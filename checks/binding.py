@@ -10,11 +10,12 @@ the years 1995 to 2001.
 
 from __future__ import annotations
 
+import zlib
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sublens.sources.tables import conform
+from sublens.sources.tables import Tables
 
 EVENTS_L = date(2024, 1, 25)
 ORDERS_L = date(1998, 7, 15)
@@ -458,16 +459,27 @@ from {{part}}""",
 }
 
 
-class BoundTables:
-    """Table resolver over the driver's parquet files."""
+class BoundTables(Tables):
+    """Table resolver over the driver's parquet files; every file is opened at most once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, bindings: dict[str, str]):
+        super().__init__()
         self._spark, self._bindings = spark, bindings
-        self._files = {t: f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`" for t in DRIVER_TABLES}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        sql = self._bindings[name].format(**self._files).replace('"', "`")
-        return conform(self._spark.sql(sql), name)
+        self._root = sf_dir.rstrip("/")
+        self._views: dict[str, str] = {}
+
+    def _view(self, table: str) -> str:
+        if table not in self._views:
+            path = f"{self._root}/{table}.parquet"
+            view = f"driver_{table}_{zlib.crc32(path.encode()):08x}"
+            self._spark.read.parquet(path).createOrReplaceTempView(view)
+            self._views[table] = view
+        return self._views[table]
+
+    def load(self, name: str) -> DataFrame:
+        sql = self._bindings[name]
+        used = {t: self._view(t) for t in DRIVER_TABLES if f"{{{t}}}" in sql}
+        return self._spark.sql(sql.format(**used).replace('"', "`"))
 
 
 def events_tables(spark: SparkSession, sf_dir: str) -> BoundTables:

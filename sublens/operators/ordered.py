@@ -1,8 +1,10 @@
 """Order-dependent work on keys of unbounded size.
 
 A window over a key puts all its rows into one task. Here the key is first cut into buckets that
-follow the order (a day, a block of ids); rows meet only inside their bucket, and one short
-summary row per bucket carries what the next bucket has to know.
+follow the order (a day, a block of ids), and rows only meet inside their bucket. What a bucket
+has to know about the ones before it is one value per bucket, worked out from a small aggregate
+and put in front of the bucket's rows as an extra row. The rows themselves are shuffled once, and
+no join takes part.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__bucket"
-_POS = "__pos"
+_IS_ROW = "__is_row"
 
 
 def previous_in_order(
@@ -25,71 +27,69 @@ def previous_in_order(
 ) -> DataFrame:
     """``lag(1)`` of some columns per key in ascending order; ``previous`` maps new name to column.
 
-    ``bucket`` must not decrease along the order. The last row of each bucket travels in the
-    summary, and only the first row of a bucket takes its previous value from there.
+    ``bucket`` must not decrease along the order. In front of each bucket stands a copy of the
+    last row of the key's bucket before it.
     """
     rows = df.withColumn(_BUCKET, bucket)
-    local = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    inside = rows.withColumn(_POS, F.row_number().over(local)).withColumns(
-        {new: F.lag(source).over(local) for new, source in previous.items()}
-    )
-    values = [F.col(source).alias(new) for new, source in previous.items()]
-    last_of_bucket = rows.groupBy(*keys, _BUCKET).agg(
-        F.max_by(F.struct(*values), F.struct(*order)).alias("__last")
+    sources = sorted(set(previous.values()))
+    last_rows = rows.groupBy(*keys, _BUCKET).agg(
+        F.max_by(F.struct(*sources), F.struct(*order)).alias("__last")
     )
     across = Window.partitionBy(*keys).orderBy(_BUCKET)
-    carried = last_of_bucket.select(*keys, _BUCKET, F.lag("__last").over(across).alias("__carried"))
-    return (
-        _null_safe_left(inside, carried, [*keys, _BUCKET])
-        .withColumns(
-            {
-                new: F.when(F.col(_POS) == 1, F.col(f"__carried.{new}")).otherwise(F.col(new))
-                for new in previous
-            }
-        )
-        .drop(_BUCKET, _POS, "__carried")
+    fronts = last_rows.withColumn("__last", F.lag("__last").over(across)).select(
+        *keys, _BUCKET, *[F.col(f"__last.{c}").alias(c) for c in sources if c not in keys]
+    )
+    return _behind_fronts(
+        rows, fronts, keys, order, lambda window: {new: F.lag(c).over(window) for new, c in previous.items()}
     )
 
 
 def numbered_in_order(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, name: str
 ) -> DataFrame:
-    """``row_number()`` per key in ascending order: rows of earlier buckets plus place in the bucket."""
+    """``row_number()`` per key in ascending order.
+
+    In front of each bucket stands the number of rows in the key's buckets before it.
+    """
     rows = df.withColumn(_BUCKET, bucket)
-    local = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_BUCKET)
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    fronts = (
         rows.groupBy(*keys, _BUCKET)
         .agg(F.count(F.lit(1)).alias("__n"))
         .select(*keys, _BUCKET, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
     )
-    return (
-        _null_safe_left(rows.withColumn(name, F.row_number().over(local)), offsets, [*keys, _BUCKET])
-        .withColumn(name, F.col(name) + F.col("__offset"))
-        .drop(_BUCKET, "__offset")
-    )
+
+    def number(window) -> dict[str, Column]:
+        return {name: F.first("__offset").over(window) + F.row_number().over(window) - 1}
+
+    return _behind_fronts(rows, fronts, keys, order, number).drop("__offset")
 
 
 def paired_in_order(
-    opened: DataFrame,
-    closed: DataFrame,
-    keys: Sequence[str],
-    opened_at: str,
-    closed_at: str,
+    events: DataFrame, keys: Sequence[str], at: str, opens: Column, opened_at: str, closed_at: str
 ) -> DataFrame:
-    """Match the n-th opening of a key with its n-th closing; an unmatched opening stays open (NULL).
+    """Pair the n-th opening of a key with its n-th closing; an unmatched opening is not closed (NULL).
 
-    The number is part of the join key, so the matching itself is spread evenly whatever the key.
+    ``events`` holds openings (``opens`` true) and closings of the keys. Both are numbered in one
+    go and meet by grouping on (key, number), which is spread evenly whatever the key. A missing
+    key pairs with nothing.
     """
-    starts = numbered_in_order(opened, keys, [opened_at], F.to_date(opened_at), "__n")
-    ends = numbered_in_order(closed, keys, [closed_at], F.to_date(closed_at), "__n")
-    return starts.join(ends.select(*keys, "__n", closed_at), [*keys, "__n"], "left").drop("__n")
+    marked = events.select(*keys, F.col(at).alias("__at"), opens.alias("__opens"))
+    numbered = numbered_in_order(marked, [*keys, "__opens"], ["__at"], F.trunc("__at", "month"), "__n")
+    whole_key = F.lit(True)
+    for key in keys:
+        whole_key = whole_key & F.col(key).isNotNull()
+    pairs = numbered.groupBy(*keys, "__n").agg(
+        F.max(F.when(F.col("__opens"), F.col("__at"))).alias(opened_at),
+        F.max(F.when(~F.col("__opens") & whole_key, F.col("__at"))).alias(closed_at),
+    )
+    return pairs.where(F.col(opened_at).isNotNull()).drop("__n")
 
 
-def _null_safe_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(F.col(f"__r_{key}"))
-    return left.join(renamed, condition, "left").drop(*[f"__r_{k}" for k in keys])
+def _behind_fronts(rows: DataFrame, fronts: DataFrame, keys, order, computed) -> DataFrame:
+    """Window columns over each bucket's front row followed by its rows; front rows are removed."""
+    stacked = rows.withColumn(_IS_ROW, F.lit(True)).unionByName(
+        fronts.withColumn(_IS_ROW, F.lit(False)), allowMissingColumns=True
+    )
+    window = Window.partitionBy(*keys, _BUCKET).orderBy(_IS_ROW, *order)
+    return stacked.withColumns(computed(window)).where(F.col(_IS_ROW)).drop(_BUCKET, _IS_ROW)

@@ -16,18 +16,17 @@ from sublens.plans.customer_base import eligible_snapshots
 def block_intervals(tables, load_date) -> DataFrame:
     """(account, service, add, remove): the n-th add with the n-th remove; still open means until L."""
     day = LoadDate.of(load_date)
-    events = tables["nobill_tx_account_history"].where(
+    changes = tables["nobill_tx_account_history"].where(
         F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
+        & F.col("historytypekey").isin(decode.SERVICE_ADDED, decode.SERVICE_REMOVED)
     )
-    keys = ["accountnum", "additionalinfo"]
-    added = events.where(F.col("historytypekey") == decode.SERVICE_ADDED)
-    removed = events.where(F.col("historytypekey") == decode.SERVICE_REMOVED)
     pairs = paired_in_order(
-        added.select(*keys, F.col("tstamp").alias("add_date")),
-        removed.select(*keys, F.col("tstamp").alias("remove_date")),
-        keys,
-        "add_date",
-        "remove_date",
+        changes,
+        keys=["accountnum", "additionalinfo"],
+        at="tstamp",
+        opens=F.col("historytypekey") == decode.SERVICE_ADDED,
+        opened_at="add_date",
+        closed_at="remove_date",
     )
     still_open = F.lit(day.day).cast("timestamp_ntz")
     return pairs.withColumn("remove_date", F.coalesce("remove_date", still_open))

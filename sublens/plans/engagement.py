@@ -24,7 +24,7 @@ SHARING_SINCE = date(2022, 1, 1)
 LOYALTY_DAYS = 30
 
 # How many consecutive message ids meet in one task when country changes are looked for.
-ID_BLOCK = 1_000_000
+ID_BLOCK = 50_000_000
 
 
 def visited_countries(tables, load_date) -> DataFrame:

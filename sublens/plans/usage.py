@@ -216,17 +216,17 @@ def windowed_usage(tables, windows: dict[str, tuple[date, date]]) -> DataFrame:
     """
     start = min(first for first, _ in windows.values())
     end = max(last for _, last in windows.values())
-    usage = counted_usage(tables, start, end)
-    measured = usage.select(
+    measures = _measures()
+    measured = counted_usage(tables, start, end).select(
         "ad_accountnum",
         "ad_date",
-        *[F.when(test, amount).otherwise(0).alias(name) for name, (test, amount) in _measures().items()],
+        *[F.when(test, amount).otherwise(0).alias(name) for name, (test, amount) in measures.items()],
     )
     sums = []
     for window, (first, last) in windows.items():
-        inside = within_closed(F.col("ad_date"), first, last)
-        sums.append(F.count_if(inside).alias(f"rows_{window}"))
-        sums += [F.sum(F.when(inside, F.col(m))).alias(f"{m}_{window}") for m in _measures()]
+        inside = f"ad_date between date '{first}' and date '{last}'"
+        sums.append(F.expr(f"count_if({inside}) as rows_{window}"))
+        sums += [F.expr(f"sum(case when {inside} then {name} end) as {name}_{window}") for name in measures]
     per_account = measured.groupBy(F.col("ad_accountnum").alias("in_account_number")).agg(*sums)
     return without_test_accounts(per_account, tables, "in_account_number")
 

@@ -36,32 +36,49 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*columns)
 
 
-class FrameTables:
+class Tables:
+    """Base resolver: opens and conforms each table at most once per instance."""
+
+    def __init__(self):
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = conform(self.load(name), name)
+        return self._opened[name]
+
+    def load(self, name: str) -> DataFrame:
+        raise NotImplementedError
+
+
+class FrameTables(Tables):
     """Tables held as DataFrames, for tests and for data prepared by other Spark jobs."""
 
     def __init__(self, frames: Mapping[str, DataFrame]):
+        super().__init__()
         self._frames = dict(frames)
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return conform(self._frames[name], name)
+    def load(self, name: str) -> DataFrame:
+        return self._frames[name]
 
 
-class ParquetTables:
+class ParquetTables(Tables):
     """One parquet table (file or directory) per name under a root path."""
 
     def __init__(self, spark: SparkSession, root: str, suffix: str = ".parquet"):
+        super().__init__()
         self._spark, self._root, self._suffix = spark, root.rstrip("/"), suffix
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return conform(self._spark.read.parquet(f"{self._root}/{name}{self._suffix}"), name)
+    def load(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._root}/{name}{self._suffix}")
 
 
-class CatalogTables:
+class CatalogTables(Tables):
     """Tables of the session catalog; ``locations`` maps a name to its catalog and schema."""
 
     def __init__(self, spark: SparkSession, schema: str, locations: Mapping[str, str] | None = None):
+        super().__init__()
         self._spark, self._schema, self._locations = spark, schema, dict(locations or {})
 
-    def __getitem__(self, name: str) -> DataFrame:
-        schema = self._locations.get(name, self._schema)
-        return conform(self._spark.table(f"{schema}.`{name}`"), name)
+    def load(self, name: str) -> DataFrame:
+        return self._spark.table(f"{self._locations.get(name, self._schema)}.`{name}`")

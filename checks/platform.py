@@ -99,7 +99,7 @@ event_rows as (
 
 _MASTER = f"""{_EVENT_ROWS},
 master as (
-  select s.Id as ServiceId, s.Name as ServiceName, s.ServiceChargingTypeId, s.ServiceTypeId,
+  select cast(s.Id as bigint) as ServiceId, s.Name as ServiceName, s.ServiceChargingTypeId, s.ServiceTypeId,
     s.ServiceCategoryId, cast(s.ServiceCost as double) as ServiceCost, s.StatusId as ServiceStatusId,
     b.EventId, e.dev_event_desc, e.dev_category_1, e.dev_category_2, e.dev_category_3, e.dev_category_4,
     c.Name as ServiceCategoryName, t.Name as ServiceTypeName, g.Name as ServiceChargingTypeName,
@@ -281,7 +281,7 @@ running as (
 
 _PRICES = """
 prices as (
-  select ProductCode, PackagePriceServices,
+  select cast(ProductCode as int) as ProductCode, PackagePriceServices,
     cast(cast(TotalCost as decimal(18, 2)) - cast(DiscountValue as decimal(18, 2)) as double) as TotalCost
   from po_get_package_price
   qualify row_number() over (partition by ProductCode, PackagePriceServices
@@ -296,7 +296,7 @@ plan_services as (
 
 _PRODUCTS = r"""
 named as (
-  select src_product_code as ProductCode,
+  select cast(src_product_code as int) as ProductCode,
     case when src_product_code in (168, 193) then 'Monthly_Staff' else coalesce(max(business_product_name), 'Null') end
       as ProductName
   from dim_product group by src_product_code),
@@ -318,7 +318,7 @@ numbered as (select * from po_sre_customer where regexp_matches(NobillAccountNo,
 
 _PREFERRED = f"""{_NUMBERED},
 preferred as (
-  select NobillAccountNo, Id, coalesce(RenewalDay, 0) as Renewal_cycle from numbered
+  select NobillAccountNo, Id, cast(coalesce(RenewalDay, 0) as int) as Renewal_cycle from numbered
   qualify row_number() over (partition by NobillAccountNo
     order by coalesce(RenewalDay, 0) desc, LastUpdateDate desc, SubscribeDate desc, Id desc) = 1)"""
 

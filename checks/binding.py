@@ -181,7 +181,7 @@ select cast(user_id as string) as in_account_number, cast(ts as date) as date_dt
   value * 3 as step_up_plan_price,
   case when event_id % 17 = 16 then null else value / 3 end as step_up_plan_price_change,
   case when event_id % 7 = 6 then 0.0 else cast(event_id % 61 as double) end as "60day_avg_money_spent",
-  value + 2 as step_up_plan_national_min_change, value / 5 - 4 as step_up_spent_change
+  value + 2 as step_up_plan_national_min_change, value / 2 - 4 as step_up_spent_change
 from {events}""",
 }
 
@@ -271,7 +271,9 @@ select distinct p_size as ID,
   case when p_size in (30, 50) then {_key('Plan Pause ', 'p_size')} else {_key('Action ', 'p_size')} end as Name
 from {{part}}""",
     "po_sre_subscription": """
-select o_orderkey as Id, o_custkey as CustomerId, 2 as StatusId, o_orderdate as StartDate,
+select o_orderkey as Id, o_custkey as CustomerId, 2 as StatusId,
+  case when o_orderkey % 2 = 0 and o_orderdate >= timestamp '1998-06-20' and o_orderdate < timestamp '1998-07-15'
+    then timestamp '1998-07-14' else o_orderdate end as StartDate,
   cast(cast(o_orderdate as date) + cast(o_orderkey * 13 % 400 as int) as timestamp) as EndDate
 from {orders}""",
     "po_sre_paymenthistory": """
@@ -351,7 +353,7 @@ select l_orderkey as facc_counterid,
     as facc_account_number,
   case l_linenumber % 3 when 0 then 220 when 1 then 271 else 300 end as facc_counter_type_id,
   cast(l_shipdate as date) as facc_date, l_shipdate as facc_time_stamp,
-  l_linenumber as facc_updatetype, l_extendedprice as facc_postvalue
+  l_linenumber as facc_updatetype, l_quantity * 20 as facc_postvalue
 from {_LINE_OF_ACCOUNT}""",
     "nobill_snapshot_daily_balance": """
 select o_orderkey as counter_id, cast(1000 + floor(o_custkey / 25) as bigint) as account_num,
@@ -404,7 +406,7 @@ select cast(l_shipdate as date) as ad_date,
   cast(l_quantity as bigint) * 61000 as ad_total_duration,
   cast(l_quantity as bigint) * 11000 as ad_total_duration_payg,
   cast(l_quantity as bigint) * 7000 + l_partkey as ad_total_duration_counter,
-  cast(floor(l_extendedprice) as bigint) * 200000 as ad_total_data_volume,
+  cast(floor(l_extendedprice) as bigint) * 600000 as ad_total_data_volume,
   cast(floor(l_extendedprice) as bigint) * 1000 as ad_total_data_volume_counter,
   cast(floor(l_extendedprice) as bigint) * 500 as ad_total_data_volume_payg,
   cast(floor(l_extendedprice) as bigint) * 30 as ad_total_counter_data_volume_transfer,

@@ -32,6 +32,16 @@ def _orders(build):
     return lambda spark, sf_dir: build(orders_tables(spark, sf_dir))
 
 
+def _driver_orders(rule):
+    """A rule on a date, with the order date standing in for a birth date."""
+
+    def run(spark, sf_dir):
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+        return orders.select("o_orderkey", rule(F.to_date("o_orderdate")))
+
+    return run
+
+
 def _number_status(tables):
     states = base.number_states(tables, EVENTS_L)
     return states.select("accountnum", "status", "blocked", "blocked_status", "number_status")
@@ -81,6 +91,15 @@ QUERIES = {
     "status_all_answers": _events(lambda t: profiles.status(t, EVENTS_L, newest_answer_only=False)),
     "duplicate_audit": _events(lambda t: profiles.duplicate_audit(t, EVENTS_L)),
     "duplicate_audit_fixed": _events(lambda t: profiles.duplicate_audit(t, EVENTS_L, True)),
+    "newest_tags": _events(lambda t: profiles.newest_tags(t).select("MSISDN", "ID", "SCUserPerID", "DateTime")),
+    "birthday_bucket": _driver_orders(
+        lambda born: helpers.birthday_bucket(born, date(2024, 1, 24)).alias("CUSTOMER_DOB")
+    ),
+    "youth_flag": _driver_orders(
+        lambda born: helpers.flag(helpers.age_in_years(born, date(2024, 1, 24)) <= profiles.YOUTH_AGE).alias(
+            "YOUTH_FLAG"
+        )
+    ),
     "registered_not_activated": _events(
         lambda t: profiles.registered_not_activated(t, date(2023, 1, 1), date(2023, 9, 21))
     ),
@@ -362,6 +381,14 @@ order by DateTime desc""",
 select m.IN_ACCOUNT_NUMBER from customer_master as m
 where m.MSISDN in (select p.MSISDN from ne_scuserschannelspermission as p
   join ne_scusertaghistory as h on h.SCUserPerID = p.ID where h.TagID = 3 and p.MSISDN is not null)""",
+    ),
+    "newest_tags": (
+        "ne_scusertaghistory ne_scuserschannelspermission",
+        """
+select p.MSISDN, h.ID, h.SCUserPerID, h.DateTime
+from ne_scusertaghistory as h left join ne_scuserschannelspermission as p on p.ID = h.SCUserPerID
+where h.TagID = 3
+qualify row_number() over (partition by p.MSISDN order by h.DateTime desc, h.ID desc) = 1""",
     ),
     "block_pairing": (_LINE_TABLES, f"{_INTERVALS} select * from intervals"),
     "interval_join": (_LINE_TABLES, f"{_INTERVALS} select * from covered"),
@@ -443,4 +470,7 @@ from final""",
 ORACLES = {
     **{k: oracle_with(EVENTS_BINDINGS, names, sql) for k, (names, sql) in _events_sql.items()},
     **{k: oracle_with(ORDERS_BINDINGS, names, sql) for k, (names, sql) in _orders_sql.items()},
+    "birthday_bucket": f"""
+select o_orderkey, {_BIRTHDAY.replace('CUST_DOB', 'o_orderdate')} as CUSTOMER_DOB from orders""",
+    "youth_flag": f"select o_orderkey, {_YOUTH.replace('CUST_DOB', 'o_orderdate')} as YOUTH_FLAG from orders",
 }

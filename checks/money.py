@@ -53,6 +53,7 @@ QUERIES = {
     "voucher_summary": _orders(lambda t: payments.vouchers(t, ORDERS_L)),
     "recharge_counts": _orders(lambda t: payments.wallet_recharges(t, ORDERS_L)),
     "usage_windows": _usage(lambda t: usage.usage_all_windows(t, ORDERS_L)),
+    "usage_months": _usage(lambda t: usage.usage_all_windows(t, ORDERS_L, ("M_0", "M_1", "M_2"))),
     **{
         f"usage_{window}": _usage(lambda t, w=window: usage.usage_window(t, ORDERS_L, w))
         for window in usage.USAGE_COLUMNS
@@ -233,16 +234,15 @@ def _window_columns(window: str) -> str:
     return ", ".join(f"{formulas[r]} as {n.format(w=window)}" for r, n in names.items())
 
 
-def _all_windows_sql() -> str:
-    ctes = ",".join(_window_cte(w) for w in _USAGE_WINDOWS)
+def _side_by_side_sql(windows: list[str]) -> str:
+    ctes = ",".join(_window_cte(w) for w in windows)
     joins = " ".join(
-        f"left join w_{w} on w_{w}.in_account_number is not distinct from a.in_account_number"
-        for w in _USAGE_WINDOWS
+        f"left join w_{w} on w_{w}.in_account_number is not distinct from a.in_account_number" for w in windows
     )
-    columns = ", ".join(f"w_{w}.* exclude (in_account_number)" for w in _USAGE_WINDOWS)
+    columns = ", ".join(f"w_{w}.* exclude (in_account_number)" for w in windows)
+    accounts = " union ".join(f"select in_account_number from w_{w}" for w in windows)
     return f"""{_USAGE},{ctes},
-a as (select distinct ad_accountnum as in_account_number from counted
-  where ad_date between date '1998-04-16' and date '1998-07-31')
+a as ({accounts})
 select a.in_account_number, {columns} from a {joins}"""
 
 
@@ -375,7 +375,8 @@ from repeated group by fad_accountnum""",
 }
 
 _usage_sql = {
-    "usage_windows": (_USAGE_TABLES, _all_windows_sql()),
+    "usage_windows": (_USAGE_TABLES, _side_by_side_sql(list(_USAGE_WINDOWS))),
+    "usage_months": (_USAGE_TABLES, _side_by_side_sql(["M_0", "M_1", "M_2"])),
     **{
         f"usage_{w}": (_USAGE_TABLES, f"{_USAGE},{_window_cte(w)} select * from w_{w}")
         for w in _USAGE_WINDOWS

@@ -96,7 +96,8 @@ def booster_counts(tables, load_date) -> DataFrame:
     return events.groupBy(F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER")).agg(*aggregates)
 
 
-def booster_purchases(tables, load_date) -> DataFrame:
+def booster_purchases(tables, load_date, blank_placeholders: bool = False) -> DataFrame:
+    """The report; its placeholder columns are typed, or all empty text for consumers that want that."""
     counts = booster_counts(tables, load_date)
     profiles = {
         f"BOOSTER_PURCHASE_PROFILE_{label}": purchase_profile(
@@ -110,9 +111,9 @@ def booster_purchases(tables, load_date) -> DataFrame:
     available = {**{c: F.col(c) for c in counts.columns}, **profiles}
 
     def placeholder(name: str):
-        if name in ZERO_PLACEHOLDERS:
-            return F.lit(0)
-        return F.lit("") if name in BLANK_PLACEHOLDERS else F.lit(NO_DATE)
+        if blank_placeholders or name in BLANK_PLACEHOLDERS:
+            return F.lit("")
+        return F.lit(0) if name in ZERO_PLACEHOLDERS else F.lit(NO_DATE)
 
     return counts.select(
         *[available.get(name, placeholder(name)).alias(name) for name in BOOSTER_COLUMNS]

@@ -188,17 +188,30 @@ def registered_not_activated(tables, start, end) -> DataFrame:
             F.col("ChannelID").alias("EMAIL_REGISTRATION_CHANNEL"),
         )
         .join(activated, "CRMAccountNo", "left_anti")
+        .select(
+            "REG_EMAIL",
+            "DateTime",
+            "CustomerID",
+            "CRMAccountNo",
+            "EMAIL_VERIFIED_FLAG",
+            "EMAIL_REGISTRATION_CHANNEL",
+        )
         .orderBy(F.desc_nulls_last("DateTime"))
     )
 
 
-def tag_cohort(tables, tag: int = 3) -> DataFrame:
-    """Accounts whose number carries the tag: the newest tag row per number, joined to the master."""
+def newest_tags(tables, tag: int = 3) -> DataFrame:
+    """The newest history row of the tag per number; rows of unknown users share the missing number."""
     tagged = tables["ne_scusertaghistory"].where(F.col("TagID") == tag)
     numbers = tables["ne_scuserschannelspermission"].select(F.col("ID").alias("SCUserPerID"), "MSISDN")
-    newest = first_per_key(
+    return first_per_key(
         tagged.join(numbers, "SCUserPerID", "left"),
         ["MSISDN"],
         [F.desc_nulls_last("DateTime"), F.desc_nulls_last("ID")],
     )
-    return tables["customer_master"].join(newest.select("MSISDN"), "MSISDN").select("IN_ACCOUNT_NUMBER")
+
+
+def tag_cohort(tables, tag: int = 3) -> DataFrame:
+    """Accounts whose number carries the tag."""
+    tagged = newest_tags(tables, tag).select("MSISDN")
+    return tables["customer_master"].join(tagged, "MSISDN").select("IN_ACCOUNT_NUMBER")

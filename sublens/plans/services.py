@@ -227,10 +227,14 @@ def event_action_features(day: LoadDate) -> dict[str, Column]:
     return features
 
 
-def event_action_history(tables, load_date, since: date = HISTORY_SINCE) -> DataFrame:
+def event_action_history(
+    tables, load_date, since: date = HISTORY_SINCE, blank_placeholders: bool = False
+) -> DataFrame:
     """One row per account: last items, renewal dates, days to and from expiry, amounts."""
     day = LoadDate.of(load_date)
     features = event_action_features(day)
+    if blank_placeholders:
+        features["VAS_USAGE_RIGHT_FLAG"] = F.lit("")
     return dated_services(tables, day, since).groupBy("IN_ACCOUNT_NUMBER").agg(
         *[features[name].alias(name) for name in EVENT_ACTION_COLUMNS[1:]]
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -307,9 +308,10 @@ def usage_window(tables, load_date, window: str) -> DataFrame:
     return windowed_usage(tables, edges).select("in_account_number", *_columns(window))
 
 
-def usage_all_windows(tables, load_date) -> DataFrame:
-    """All six windows side by side from a single scan; NULL where an account has no usage."""
-    windows = usage_windows_of(load_date)
+def usage_all_windows(tables, load_date, labels: Sequence[str] = tuple(USAGE_COLUMNS)) -> DataFrame:
+    """The labelled windows side by side from a single scan; NULL where an account has no usage."""
+    every = usage_windows_of(load_date)
+    windows = {label: every[label] for label in labels}
     columns = []
     for window in windows:
         used = F.col(f"rows_{window}") > 0

@@ -462,21 +462,19 @@ from {{part}}""",
 
 
 class BoundTables(Tables):
-    """Table resolver over the driver's parquet files; every file is opened at most once."""
+    """Table resolver over the driver's parquet files; a session opens every file once, as a view."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, bindings: dict[str, str]):
         super().__init__()
         self._spark, self._bindings = spark, bindings
         self._root = sf_dir.rstrip("/")
-        self._views: dict[str, str] = {}
 
     def _view(self, table: str) -> str:
-        if table not in self._views:
-            path = f"{self._root}/{table}.parquet"
-            view = f"driver_{table}_{zlib.crc32(path.encode()):08x}"
+        path = f"{self._root}/{table}.parquet"
+        view = f"driver_{table}_{zlib.crc32(path.encode()):08x}"
+        if not self._spark.catalog.tableExists(view):
             self._spark.read.parquet(path).createOrReplaceTempView(view)
-            self._views[table] = view
-        return self._views[table]
+        return view
 
     def load(self, name: str) -> DataFrame:
         sql = self._bindings[name]

@@ -8,6 +8,7 @@ partition pruning from the pipelines' date filters.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,17 @@ from pyspark.sql import types as T
 from sublens.sources.schemas import SCHEMAS
 
 
+@lru_cache(maxsize=None)
+def declared_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(SCHEMAS[name])
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select the declared columns, casting each once and only where the type differs.
 
     A value that does not fit the declared type becomes NULL, as in a lenient warehouse load.
     """
-    declared = T.StructType.fromDDL(SCHEMAS[name])
+    declared = declared_schema(name)
     present = {f.name.lower(): f for f in df.schema.fields}
     missing = [f.name for f in declared if f.name.lower() not in present]
     if missing:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sublens.functions.decode import purchase_profile
-from sublens.functions.helpers import flag, latest, total
+from sublens.functions.helpers import flag, latest, total, window_total
 from sublens.load_date import LoadDate, within
 
 # Fixed values.
@@ -71,29 +71,38 @@ def booster_counts(tables, load_date) -> DataFrame:
     window counts are NULL for an account without any booster or roaming event in the last 92 days.
     """
     day = LoadDate.of(load_date)
+    booster = F.col("EVENT_IN_EVENT_GROUP") == "Booster"
+    quantity = F.when(booster, F.col("EVENT_IN_TOTAL_QUANTITY")).otherwise(0)
     events = (
         tables["event_in_booster"]
         .where(F.col("EVENT_IN_EVENT_GROUP").isin(EVENT_GROUPS))
         .join(kinds_per_event(tables), "EVENT_IN_EVENT_ID", "left")
+        .select(
+            F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER"),
+            F.col("EVENT_IN_DATE").alias("event_date"),
+            F.when(booster, F.col("EVENT_IN_SERVICE_TYPE")).alias("kind"),
+            quantity.alias("quantity"),
+            *[(quantity * F.coalesce(f"rows_{label}", F.lit(0))).alias(f"filed_{label}") for label in KINDS],
+        )
     )
-    on, quantity = F.col("EVENT_IN_DATE"), F.col("EVENT_IN_TOTAL_QUANTITY")
-    booster = F.col("EVENT_IN_EVENT_GROUP") == "Booster"
+    on = F.col("event_date")
     seen_lately = F.max(flag(within(on, day.back(SCAN_DAYS), day.day))) == 1
     aggregates = []
     for label, name in KINDS.items():
-        kind = booster & (F.col("EVENT_IN_SERVICE_TYPE") == name)
+        kind = F.col("kind") == name
         aggregates += [
-            total(kind, quantity).alias(f"TOTAL_{label}_BOOSTER_QTY"),
+            total(kind, F.col("quantity")).alias(f"TOTAL_{label}_BOOSTER_QTY"),
             latest(kind, on).alias(f"LAST_{label}_BOOSTER_DATE"),
-            total(kind & (on < F.lit(day.back(30))), quantity).alias(f"TOTAL_{label}_BOOSTER_BEFORE30D_QTY"),
+            total(kind & (on < F.lit(day.back(30))), F.col("quantity")).alias(
+                f"TOTAL_{label}_BOOSTER_BEFORE30D_QTY"
+            ),
         ]
-        filed = quantity * F.coalesce(F.col(f"rows_{label}"), F.lit(0))
-        for suffix, (start, end) in purchase_windows(day).items():
-            count = total(booster & within(on, start, end), filed)
+        for suffix, window in purchase_windows(day).items():
+            count = window_total("event_date", window, f"filed_{label}")
             aggregates.append(
                 F.when(seen_lately, count).alias(f"BOOSTER_TOTAL_{label}_COUNT_{suffix}")
             )
-    return events.groupBy(F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER")).agg(*aggregates)
+    return events.groupBy("IN_ACCOUNT_NUMBER").agg(*aggregates)
 
 
 def booster_purchases(tables, load_date, blank_placeholders: bool = False) -> DataFrame:

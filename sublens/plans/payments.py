@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sublens.functions import decode
-from sublens.functions.helpers import as_double, number_key, total
+from sublens.functions.helpers import as_double, number_key, total, window_total
 from sublens.load_date import LoadDate, within
 
 # Fixed values.
@@ -119,12 +119,12 @@ def payments(tables, load_date) -> DataFrame:
     )
     windows = payment_windows(day)
     amounts = [
-        as_double(total(within(on, *edges), F.col("amount"))).alias(f"PAYMENT_TOTAL_AMOUNT_{suffix}")
-        for suffix, edges in windows.items()
+        as_double(window_total("paid_on", window, "amount")).alias(f"PAYMENT_TOTAL_AMOUNT_{suffix}")
+        for suffix, window in windows.items()
     ]
     failures = [
-        total(within(on, *edges), F.col("failed")).alias(f"PAYMENT_COUNT_FAILED_{suffix}")
-        for suffix, edges in windows.items()
+        window_total("paid_on", window, "failed").alias(f"PAYMENT_COUNT_FAILED_{suffix}")
+        for suffix, window in windows.items()
     ]
     return (
         dated.groupBy(F.col("accountnum").alias("IN_ACCOUNT_NUMBER"))
@@ -199,7 +199,7 @@ def wallet_recharges(tables, load_date) -> DataFrame:
     }
     return voucher_adjustments(tables, day.back(SCAN_DAYS), day.day).groupBy("fad_accountnum").agg(
         *[
-            total(within(F.col("fad_time_stamp"), *windows[suffix]), F.lit(1)).alias(name)
+            window_total("fad_time_stamp", windows[suffix], "1").alias(name)
             for suffix, name in names.items()
         ]
     )

@@ -146,15 +146,22 @@ def status(tables, load_date, newest_answer_only: bool = True) -> DataFrame:
     duplicate audit is there to find.
     """
     day = LoadDate.of(load_date)
-    answers = survey_latest(tables) if newest_answer_only else survey_rows(tables)
-    scores = answers.select(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), "score")
     complete = (
         with_customer(customer_base(tables, day), tables)
         .join(port_out_days(tables, day), "IN_ACCOUNT_NUMBER", "left")
-        .join(scores, "IN_ACCOUNT_NUMBER", "left")
         .join(account_limit_flags(tables), "CUST_LATEST_ID_NUMBER", "left")
     )
-    return complete.select(
+    answers = survey_latest(tables) if newest_answer_only else survey_rows(tables)
+    scores = answers.select(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), "score")
+    if newest_answer_only:
+        scored = complete.join(scores, "IN_ACCOUNT_NUMBER", "left")
+    else:
+        # An outer join cannot be split on the side that holds many rows of one key; an inner one can.
+        silent = complete.join(scores.select("IN_ACCOUNT_NUMBER"), "IN_ACCOUNT_NUMBER", "left_anti")
+        scored = complete.join(scores, "IN_ACCOUNT_NUMBER").unionByName(
+            silent, allowMissingColumns=True
+        )
+    return scored.select(
         "IN_ACCOUNT_NUMBER",
         F.col("STATUS").alias("CUSTOMER_STATUS"),
         F.col("CUST_DAYS_SINCE_LAST_ACTIVITY").alias("LAST_ACTIVITY_DATE"),
@@ -166,8 +173,17 @@ def status(tables, load_date, newest_answer_only: bool = True) -> DataFrame:
 
 
 def duplicate_audit(tables, load_date, newest_answer_only: bool = False) -> DataFrame:
-    """Accounts that the status pipeline returns more than once."""
-    return duplicated_keys(status(tables, load_date, newest_answer_only), "IN_ACCOUNT_NUMBER")
+    """Accounts that the status pipeline returns more than once, with their number of rows.
+
+    For the variant with all answers the rows are counted from the answers per account, without
+    producing them.
+    """
+    if newest_answer_only:
+        return duplicated_keys(status(tables, load_date), "IN_ACCOUNT_NUMBER")
+    accounts = with_customer(customer_base(tables, load_date), tables)
+    weighted = accounts.join(survey_counts(tables), "IN_ACCOUNT_NUMBER", "left")
+    rows = F.sum(F.coalesce("answer_rows", F.lit(1)))
+    return weighted.groupBy("IN_ACCOUNT_NUMBER").agg(rows.alias("ROW_COUNT")).where(F.col("ROW_COUNT") > 1)
 
 
 def registered_not_activated(tables, start, end) -> DataFrame:

@@ -166,6 +166,7 @@ def core_metrics() -> dict[str, Column]:
 
 def daily_usage(tables, start, end) -> DataFrame:
     """All measures per account and day of ``[start, end]``, test accounts left out."""
+    start, end = LoadDate.of(start).day, LoadDate.of(end).day
     events = collapse(
         tables["nobill_dim_event"],
         "dev_eventid_base",

@@ -30,7 +30,13 @@ def registered_customers(tables) -> DataFrame:
     return master.withColumn("account", number_key(F.col("IN_ACCOUNT_NUMBER"))).drop("IN_ACCOUNT_NUMBER")
 
 
-def with_customer(base: DataFrame, tables) -> DataFrame:
+def known_customers(tables, load_date, base: DataFrame | None = None) -> DataFrame:
+    """The customer base with the master columns of each account.
+
+    A job that runs several profiles writes the customer base once and passes it in as ``base``.
+    """
+    if base is None:
+        base = customer_base(tables, load_date)
     customers = registered_customers(tables)
     return base.join(customers, base["IN_ACCOUNT_NUMBER"] == customers["account"], "left").drop("account")
 
@@ -84,13 +90,13 @@ def with_survey_fan_out(df: DataFrame, tables) -> DataFrame:
     return repeat_rows(df.join(survey_counts(tables), "IN_ACCOUNT_NUMBER", "left"), "answer_rows")
 
 
-def acquisition(tables, load_date) -> DataFrame:
+def acquisition(tables, load_date, base: DataFrame | None = None) -> DataFrame:
     day = LoadDate.of(load_date)
     registrations = tables["vmwsc_registration"].select(
         F.col("ID").alias("REGISTRATION_ID"), "IsEmailVerified"
     )
     port_ins = ported_in(tables, day).withColumnRenamed("accountnum", "IN_ACCOUNT_NUMBER")
-    customers = with_customer(customer_base(tables, day), tables)
+    customers = known_customers(tables, day, base)
     typed = with_existence(
         customers, port_ins, "IN_ACCOUNT_NUMBER", "ACTIVATION_TYPE", "MNP", "Standard"
     )
@@ -111,9 +117,9 @@ def acquisition(tables, load_date) -> DataFrame:
     )
 
 
-def demographics(tables, load_date) -> DataFrame:
+def demographics(tables, load_date, base: DataFrame | None = None) -> DataFrame:
     day = LoadDate.of(load_date)
-    customers = with_survey_fan_out(with_customer(customer_base(tables, day), tables), tables)
+    customers = with_survey_fan_out(known_customers(tables, day, base), tables)
     birth = F.col("CUST_DOB")
     return customers.select(
         "IN_ACCOUNT_NUMBER",
@@ -139,7 +145,9 @@ def port_out_days(tables, load_date) -> DataFrame:
     )
 
 
-def status(tables, load_date, newest_answer_only: bool = True) -> DataFrame:
+def status(
+    tables, load_date, newest_answer_only: bool = True, base: DataFrame | None = None
+) -> DataFrame:
     """Status, activity and mood per account.
 
     With ``newest_answer_only=False`` an account appears once per survey answer, which is what the
@@ -147,7 +155,7 @@ def status(tables, load_date, newest_answer_only: bool = True) -> DataFrame:
     """
     day = LoadDate.of(load_date)
     complete = (
-        with_customer(customer_base(tables, day), tables)
+        known_customers(tables, day, base)
         .join(port_out_days(tables, day), "IN_ACCOUNT_NUMBER", "left")
         .join(account_limit_flags(tables), "CUST_LATEST_ID_NUMBER", "left")
     )
@@ -180,7 +188,7 @@ def duplicate_audit(tables, load_date, newest_answer_only: bool = False) -> Data
     """
     if newest_answer_only:
         return duplicated_keys(status(tables, load_date), "IN_ACCOUNT_NUMBER")
-    accounts = with_customer(customer_base(tables, load_date), tables)
+    accounts = known_customers(tables, load_date)
     weighted = accounts.join(survey_counts(tables), "IN_ACCOUNT_NUMBER", "left")
     rows = F.sum(F.coalesce("answer_rows", F.lit(1)))
     return weighted.groupBy("IN_ACCOUNT_NUMBER").agg(rows.alias("ROW_COUNT")).where(F.col("ROW_COUNT") > 1)

@@ -214,3 +214,9 @@ def test_registered_not_activated_keeps_missing_account_numbers(spark):
     )
     found = profiles.registered_not_activated(tables, date(2023, 1, 1), date(2023, 3, 21))
     assert [r["REG_EMAIL"] for r in found.collect()] == ["b", "c"]
+
+
+def test_a_stored_customer_base_gives_the_same_profiles(tables, rows):
+    stored = base.customer_base(tables, L)
+    for profile in (profiles.acquisition, profiles.demographics, profiles.status):
+        assert rows(profile(tables, L, base=stored)) == rows(profile(tables, L))

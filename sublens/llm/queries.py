@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from sublens.llm import line_dedup
+from sublens.llm import decontaminate, line_dedup, quality
 from sublens.llm.scratch import documents
 
 QUERIES = {
+    "op7_decontaminate": lambda spark, sf_dir: decontaminate.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
+    "op2_quality_rules": lambda spark, sf_dir: quality.digest(documents(spark, sf_dir)),
     "op6_line_dedup": lambda spark, sf_dir: line_dedup.digest(documents(spark, sf_dir)),
 }
 
 ORACLES = {
+    "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op6_line_dedup": line_dedup.ORACLE_SQL,
 }

@@ -35,8 +35,8 @@ SCALE = 256
 # Per unit of variance; keeps a statistic that is constant in the core from rejecting small changes.
 FLOOR = 0.25
 CORE = 0.75
-# Square of the robust distance. With four statistics the chi-square quantile of 1 - 1e-12 is about 62.
-CUTOFF = 64.0
+# Square of the robust distance: the chi-square quantile of 1 - 1e-6 for four statistics.
+CUTOFF = 33.4
 MIN_ROWS = 200
 STEPS = 4
 BINS = 32
@@ -99,13 +99,14 @@ def base_failed() -> Column:
 
 
 def transformed(stats: DataFrame) -> DataFrame:
-    """x1..xP, whole numbers. The shares go through a logarithm that is about linear below 1 %."""
+    """x1..xP, whole numbers. Shares go through a logarithm that is about linear below 1 % (symbols)
+    or 10 % (repetition, of which a short clean text has some by its header lines alone)."""
     words = F.greatest(F.col("n_words"), F.lit(1))
     values = (
         8 * F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
         F.log1p(100 * F.col("n_symbols") / words),
-        F.log1p(100 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-        F.log1p(100 * F.col("n_repeat_words") / words),
+        F.log1p(10 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
+        F.log1p(10 * F.col("n_repeat_words") / words),
     )
     return stats.withColumns({f"x{i + 1}": F.round(v * SCALE).cast("bigint") for i, v in enumerate(values)})
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sublens.llm import bpe, decontaminate, line_dedup, quality
+from sublens.llm import bpe, decontaminate, jaccard, line_dedup, quality
 from sublens.llm.scratch import documents
 
 QUERIES = {
+    "op9_jaccard_join": lambda spark, sf_dir: jaccard.digest(documents(spark, sf_dir)),
     "op5_bpe": lambda spark, sf_dir: bpe.digest(documents(spark, sf_dir)),
     "op7_decontaminate": lambda spark, sf_dir: decontaminate.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op2_quality_rules": lambda spark, sf_dir: quality.digest(documents(spark, sf_dir)),
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op9_jaccard_join": jaccard.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op6_line_dedup": line_dedup.ORACLE_SQL,
 }

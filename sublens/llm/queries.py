@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sublens.llm import bpe, decontaminate, jaccard, line_dedup, quality, toxicity
+from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, quality, toxicity
 from sublens.llm.scratch import documents
 
 QUERIES = {
+    "op3_language_id": lambda spark, sf_dir: langid.digest(documents(spark, sf_dir)),
     "op10_toxicity": lambda spark, sf_dir: toxicity.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")),
     "op9_jaccard_join": lambda spark, sf_dir: jaccard.digest(documents(spark, sf_dir)),
     "op5_bpe": lambda spark, sf_dir: bpe.digest(documents(spark, sf_dir)),

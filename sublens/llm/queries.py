@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, quality, toxicity
+import corpus_pipeline
+from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, quality, toxicity
 from sublens.llm.scratch import documents
 
 QUERIES = {
+    "op8_pii": lambda spark, sf_dir: pii.digest(documents(spark, sf_dir)),
+    "pipeline": corpus_pipeline.run,
     "op3_language_id": lambda spark, sf_dir: langid.digest(documents(spark, sf_dir)),
     "op10_toxicity": lambda spark, sf_dir: toxicity.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")),
     "op9_jaccard_join": lambda spark, sf_dir: jaccard.digest(documents(spark, sf_dir)),

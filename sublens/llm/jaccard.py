@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -44,6 +44,8 @@ OF, PER = 85, 100
 TILE = 2 << 20
 BITS = 2048
 SEEN = 50_000
+# Words of the filter before texts are shuffled, as a power of two (8 MB of bits).
+FILTER = 20
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -217,6 +219,26 @@ def tiles_joined(rows: DataFrame, n: int, of: int, per: int) -> DataFrame:
     return rows.groupBy("tile").applyInArrow(run, schema)
 
 
+def _word(column: str) -> tuple[Column, Column]:
+    """Where an id's bit is in the filter: word and bit."""
+    h = F.xxhash64(column)
+    return F.shiftrightunsigned(h, 64 - FILTER), h.bitwiseAND(63).cast("int")
+
+
+def maybe_members(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose doc_id is not in ``members``; no member is lost.
+
+    The filter is a bitmap of hashed ids with at most ``2 ** FILTER`` words of 64 bits, whatever the
+    number of members, so it may be broadcast; it keeps texts of other documents out of the shuffle.
+    """
+    word, bit = _word("doc_id")
+    words = members.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    own = docs.withColumns({"word_": word, "bit_": bit})
+    on = (F.col("word_") == F.col("word")) & (F.getbit("bits", F.col("bit_")) == 1)
+    return own.join(F.broadcast(words), on, "left_semi").drop("word_", "bit_")
+
+
 def links(docs: DataFrame, sizes: DataFrame, n: int, of: int, per: int, tile: int = TILE) -> DataFrame:
     """Links between different sets that connect whatever is linked. ``sizes``: doc_id, n_shingles."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -228,10 +250,11 @@ def links(docs: DataFrame, sizes: DataFrame, n: int, of: int, per: int, tile: in
     placed = written(
         members.join(weights, "root").select("doc_id", "root", "weight", band.alias("band"), "n"), "jaccard-members"
     )
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
+    texts = maybe_members(docs.select("doc_id", "text").filter("doc_id is not null"), placed)
 
     def found(rows: DataFrame) -> DataFrame:
-        return tiles_joined(texts.join(rows, "doc_id"), n, of, per)
+        # a table that grows with the documents; the same join at every size
+        return tiles_joined(texts.join(rows.hint("merge"), "doc_id"), n, of, per)
 
     none = F.lit(None)
     whole = placed.filter(F.col("weight") <= tile).select(

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, pii, quality, toxicity
+from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, maxent, pii, quality, toxicity
 from sublens.llm.scratch import documents
 
 QUERIES = {
+    "op1_lm_scoring": lambda spark, sf_dir: maxent.digest(documents(spark, sf_dir)),
     "op8_pii": lambda spark, sf_dir: pii.digest(documents(spark, sf_dir)),
     "pipeline": corpus_pipeline.run,
     "op3_language_id": lambda spark, sf_dir: langid.digest(documents(spark, sf_dir)),

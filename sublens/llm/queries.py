@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
 import corpus_pipeline
-from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, maxent, pii, quality, toxicity
-from sublens.llm.scratch import documents
+from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, maxent, pii, quality, suffix, toxicity
+
+
+def _over(digest: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: digest(*[spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in tables])
+
 
 QUERIES = {
-    "op1_lm_scoring": lambda spark, sf_dir: maxent.digest(documents(spark, sf_dir)),
-    "op8_pii": lambda spark, sf_dir: pii.digest(documents(spark, sf_dir)),
+    "op1_lm_scoring": _over(maxent.digest, "documents"),
+    "op2_quality_rules": _over(quality.digest, "documents"),
+    "op3_language_id": _over(langid.digest, "documents"),
+    "op4_suffix_dedup": _over(suffix.digest, "documents"),
+    "op5_bpe": _over(bpe.digest, "documents"),
+    "op6_line_dedup": _over(line_dedup.digest, "documents"),
+    "op7_decontaminate": _over(decontaminate.digest, "documents", "benchmark"),
+    "op8_pii": _over(pii.digest, "documents"),
+    "op9_jaccard_join": _over(jaccard.digest, "documents"),
+    "op10_toxicity": _over(toxicity.digest, "documents", "labels"),
     "pipeline": corpus_pipeline.run,
-    "op3_language_id": lambda spark, sf_dir: langid.digest(documents(spark, sf_dir)),
-    "op10_toxicity": lambda spark, sf_dir: toxicity.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")),
-    "op9_jaccard_join": lambda spark, sf_dir: jaccard.digest(documents(spark, sf_dir)),
-    "op5_bpe": lambda spark, sf_dir: bpe.digest(documents(spark, sf_dir)),
-    "op7_decontaminate": lambda spark, sf_dir: decontaminate.digest(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
-    "op2_quality_rules": lambda spark, sf_dir: quality.digest(documents(spark, sf_dir)),
-    "op6_line_dedup": lambda spark, sf_dir: line_dedup.digest(documents(spark, sf_dir)),
 }
 
 ORACLES = {
-    "op9_jaccard_join": jaccard.ORACLE_SQL,
-    "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op6_line_dedup": line_dedup.ORACLE_SQL,
+    "op7_decontaminate": decontaminate.ORACLE_SQL,
+    "op9_jaccard_join": jaccard.ORACLE_SQL,
 }

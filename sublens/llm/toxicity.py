@@ -7,8 +7,8 @@ weights.
 
 Labels are learned from at most ``max_rows`` labelled rows, those with the smallest hash of doc_id (a
 fixed bound of this operator; all labelled rows where there are fewer). Their features are stored in
-``SHARDS`` shards; in each of ``ROUNDS`` rounds every shard continues from the common state, which then
-moves by the mean of their changes. State and changes have the fixed size of the hash table.
+a table and dealt over ``SHARDS`` tasks once; each makes ``EPOCHS`` passes over its shard in a fixed order,
+and the model is the mean of their states, which have the fixed size of the hash table.
 Scoring reads every document once and shuffles nothing.
 
 Defined cases: null or empty text has the bias as its only feature. A label that is null or neither 0
@@ -31,8 +31,8 @@ BITS = 20
 SIZE = 1 << BITS
 MAX_ROWS = 20_000
 SHARDS = 4
-ROUNDS = 5
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 4.0, 1.0
+EPOCHS = 4
+ALPHA, BETA, L1, L2 = 0.2, 1.0, 6.0, 1.0
 _SALTS = [np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _TOP = np.uint64(64 - BITS)
 
@@ -116,47 +116,32 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int) -
     return written(feature_lists(texts, ["doc_id", "label", "place"]), "toxicity-features")
 
 
-def _continued(shared):
-    def run(table: pa.Table) -> pa.Table:
-        common, own = shared.value, State()
-        own.z, own.n = common.z.copy(), common.n.copy()
-        table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
-        lists = table["features"].combine_chunks()
-        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-        for a, b, label in zip(offsets[:-1], offsets[1:], table["label"].to_pylist()):
-            own.learn(flat[a:b], label)
-        return pa.table(
-            {
-                "shard": pa.array([table["shard"][0].as_py()], pa.int32()),
-                "z": pa.array([(own.z - common.z).astype(np.float32).tobytes()], pa.binary()),
-                "n": pa.array([(own.n - common.n).astype(np.float32).tobytes()], pa.binary()),
-            }
-        )
-
-    return run
-
-
-def trained(rows: DataFrame, rounds: int = ROUNDS) -> State:
-    spark = rows.sparkSession
+def _shard(table: pa.Table) -> pa.Table:
     state = State()
-    dealt = written(
-        rows.select(F.pmod("place", F.lit(SHARDS)).cast("int").alias("shard"), "place", "doc_id", "label", "features"),
-        "toxicity-shards",
+    table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
+    lists = pa.concat_arrays(table["features"].chunks)
+    flat, offsets, labels = lists.values.to_numpy(), lists.offsets.to_numpy(), table["label"].to_pylist()
+    for _ in range(EPOCHS):
+        for a, b, label in zip(offsets[:-1], offsets[1:], labels):
+            state.learn(flat[a:b], label)
+    pack = lambda x: pa.array([x.astype(np.float32).tobytes()], pa.binary())
+    return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "z": pack(state.z), "n": pack(state.n)})
+
+
+def trained(rows: DataFrame) -> State:
+    """Mean state of the shards."""
+    dealt = rows.select(
+        F.pmod("place", F.lit(SHARDS)).cast("int").alias("shard"), "place", "doc_id", "label", "features"
     )
-    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("z", T.BinaryType()), T.StructField("n", T.BinaryType())])
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(state)
-
-        z, n, shards = np.zeros(SIZE + 1), np.zeros(SIZE + 1), 0
-        # SHARDS rows of fixed size
-        for row in dealt.groupBy("shard").applyInArrow(_continued(shared), schema).orderBy("shard").toLocalIterator():
-            z += np.frombuffer(row["z"], np.float32)
-            n += np.frombuffer(row["n"], np.float32)
-            shards += 1
-        if shards:
-            state.z, state.n = state.z + z / shards, state.n + n / shards
-        shared.unpersist()
-    return state
+    states = dealt.groupBy("shard").applyInArrow(_shard, "shard int, z binary, n binary").orderBy("shard")
+    mean, shards = State(), 0
+    # SHARDS rows of fixed size
+    for row in states.toLocalIterator():
+        mean.z += np.frombuffer(row["z"], np.float32)
+        mean.n += np.frombuffer(row["n"], np.float32)
+        shards += 1
+    mean.z, mean.n = mean.z / max(1, shards), mean.n / max(1, shards)
+    return mean
 
 
 def scored(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:

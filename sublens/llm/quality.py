@@ -262,5 +262,8 @@ def stage(docs: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"in_{c}") for c in docs.columns if c not in ("text", "lang", "source")], "text", "lang", "source"
     )
     stats = written(counted(docs.select("text", "lang", "source")).drop("text"), "quality-stats")
-    kept = judged(counted(plain), outlier_model(stats)).filter("kept")
+    # A non-deterministic column, so that the filter is not moved below the counting: there it would be
+    # written out in terms of the text, and count anew for every word.
+    counts = counted(plain).withColumn("counted_in", F.spark_partition_id())
+    kept = judged(counts, outlier_model(stats)).filter("kept and counted_in >= 0")
     return kept.select([F.col(c if c in ("text", "lang", "source") else f"in_{c}").alias(c) for c in docs.columns])

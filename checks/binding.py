@@ -11,7 +11,7 @@ the years 1995 to 2001.
 from __future__ import annotations
 
 import zlib
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -345,7 +345,7 @@ select cast(l_shipdate as date) as EVENT_IN_DATE, {_key('', 'o_custkey')} as EVE
     else 'Other' end as EVENT_IN_EVENT_GROUP,
   case l_returnflag when 'A' then 'DATA' when 'N' then 'VOICE_LCL' else 'VOICE_INT' end
     as EVENT_IN_SERVICE_TYPE,
-  case when l_quantity < 25 then 1 else 2 end as EVENT_IN_TOTAL_QUANTITY
+  case when l_quantity < 25 then cast(0.5 as double) else cast(2 as double) end as EVENT_IN_TOTAL_QUANTITY
 from {_LINE_OF_ACCOUNT} join {{part}} on l_partkey = p_partkey""",
     "nobill_fact_account_counter": f"""
 select l_orderkey as facc_counterid,
@@ -494,10 +494,47 @@ def usage_tables(spark: SparkSession, sf_dir: str) -> BoundTables:
     return BoundTables(spark, sf_dir, USAGE_BINDINGS)
 
 
+# The oracle's own list of dated tables: rows from L on are not known yet, those of L itself are where
+# the third field says so.
+_DATED = """
+nobill_snapshot_subscription snapshotdate
+nobill_tx_account_history tstamp
+nobill_tx_phonenumber_history tstamp
+usabilla_data _date
+vmwsc_registration DateTime
+cas_tx_activations ActivationDate
+customerdb_customers RegistrationDate
+cas_id_verification_request CreationDate
+po_sre_actionhistory DateTime
+po_sre_paymenthistory DateTime
+event_in_booster EVENT_IN_DATE
+nobill_fact_account_counter facc_date
+nobill_snapshot_daily_balance snapshotdate
+payment_paymenttransactions CreationDate
+nobill_fact_adjustment fad_time_stamp
+roaming_ussd_received_data DATETIME
+loy_customer_cashback CREATE_DATE
+ne_scusertaghistory DateTime
+nobill_aggr_ws_cost_v3 ad_date with_L
+nobill_fact_usage fus_time_stamp with_L
+loy_customer_trx_log CREATE_DATE with_L
+"""
+_CUTS = {line.split()[0]: line.split()[1:] for line in _DATED.strip().splitlines()}
+
+
+def _known_at(name: str, select: str, day: date) -> str:
+    if name not in _CUTS:
+        return select
+    column, *with_day = _CUTS[name]
+    first_unknown = day + timedelta(days=1) if with_day else day
+    return f"select * from ({select}) as every_row where coalesce(cast({column} as timestamp) < timestamp '{first_unknown}', true)"
+
+
 def oracle_with(bindings: dict[str, str], names: str, body: str) -> str:
-    """Put the bindings of ``names`` in front of an oracle query."""
+    """Put the bindings of ``names``, as known at the load date, in front of an oracle query."""
     plain = {t: t for t in DRIVER_TABLES}
-    views = [f"{name} as ({bindings[name].format(**plain)})" for name in names.split()]
+    day = EVENTS_L if bindings is EVENTS_BINDINGS else ORDERS_L
+    views = [f"{name} as ({_known_at(name, bindings[name].format(**plain), day)})" for name in names.split()]
     body = body.strip()
     joint = "\n" if body.startswith("select") else ",\n"
     return "with " + ",\n".join(views) + joint + body

@@ -17,7 +17,7 @@ QUERIES = {
     "roaming_trips": _events(lambda t: engagement.roaming_trips(t, EVENTS_L, ID_BLOCK)),
     "country_changes": _events(lambda t: engagement.country_changes(t, EVENTS_L, ID_BLOCK)),
     "loyalty_points": _events(lambda t: engagement.loyalty_points(t, EVENTS_L)),
-    "loyalty_tier": _events(engagement.loyalty_tier),
+    "loyalty_tier": _events(lambda t: engagement.loyalty_tier(t, EVENTS_L)),
     **{
         name: _events(lambda t, m=model: scores.model_score(t, EVENTS_L, m))
         for name, model in {

@@ -76,22 +76,22 @@ QUERIES = {
     "customer_base": _events(lambda t: base.customer_base(t, EVENTS_L, DEPARTED_DAYS)),
     "number_status": _events(_number_status),
     "line_status": _events(lambda t: base.current_lines(t, EVENTS_L)),
-    "latest_block": _events(base.latest_block),
+    "latest_block": _events(lambda t: base.latest_block(t, EVENTS_L)),
     "departed_accounts": _events(lambda t: base.departed_accounts(t, EVENTS_L, DEPARTED_DAYS)),
     "port_out_tag": _events(lambda t: base.departed_lines(t, EVENTS_L, DEPARTED_DAYS)),
     "port_class_flags": _events(_port_flags),
     "termination_date": _events(lambda t: base.termination_date(t, EVENTS_L, DEPARTED_DAYS)),
     "acquisition": _events(lambda t: profiles.acquisition(t, EVENTS_L)),
     "account_limit_flag": _events(profiles.account_limit_flags),
-    "survey_join": _events(profiles.survey_rows),
-    "survey_latest": _events(profiles.survey_latest),
+    "survey_join": _events(lambda t: profiles.survey_rows(t, EVENTS_L)),
+    "survey_latest": _events(lambda t: profiles.survey_latest(t, EVENTS_L)),
     "customer_rules": _events(_customer_rules),
     "demographics": _events(lambda t: profiles.demographics(t, EVENTS_L)),
     "status": _events(lambda t: profiles.status(t, EVENTS_L)),
     "status_all_answers": _events(lambda t: profiles.status(t, EVENTS_L, newest_answer_only=False)),
     "duplicate_audit": _events(lambda t: profiles.duplicate_audit(t, EVENTS_L)),
     "duplicate_audit_fixed": _events(lambda t: profiles.duplicate_audit(t, EVENTS_L, True)),
-    "newest_tags": _events(lambda t: profiles.newest_tags(t).select("MSISDN", "ID", "SCUserPerID", "DateTime")),
+    "newest_tags": _events(lambda t: profiles.newest_tags(t, EVENTS_L).select("MSISDN", "ID", "SCUserPerID", "DateTime")),
     "birthday_bucket": _driver_orders(
         lambda born: helpers.birthday_bucket(born, date(2024, 1, 24)).alias("CUSTOMER_DOB")
     ),
@@ -103,18 +103,18 @@ QUERIES = {
     "registered_not_activated": _events(
         lambda t: profiles.registered_not_activated(t, date(2023, 1, 1), date(2023, 9, 21))
     ),
-    "tag_cohort": _events(profiles.tag_cohort),
-    "validity_date": _orders(validity.registration_validity),
+    "tag_cohort": _events(lambda t: profiles.tag_cohort(t, EVENTS_L)),
+    "validity_date": _orders(lambda t: validity.registration_validity(t, ORDERS_L)),
     "newest_activated_record": _orders(
-        lambda t: validity.newest_activated_record(t).select(
+        lambda t: validity.newest_activated_record(t, ORDERS_L).select(
             "IN_ACCOUNT_NUMBER", "NobillContactId", "ActivationDate", "Id", "Contactid"
         )
     ),
     "newest_verified_record": _orders(
-        lambda t: validity.newest_verified_record(t).select("Contactid", "Id", "IN_ACCOUNT_NUMBER")
+        lambda t: validity.newest_verified_record(t, ORDERS_L).select("Contactid", "Id", "IN_ACCOUNT_NUMBER")
     ),
     "visa_page_holders": _orders(validity.visa_page_holders),
-    "verification_requests": _orders(validity.verification_requests),
+    "verification_requests": _orders(lambda t: validity.verification_requests(t, ORDERS_L)),
     "block_pairing": _events(lambda t: disconnection.block_intervals(t, EVENTS_L)),
     "interval_join": _events(lambda t: disconnection.snapshots_with_blocks(t, EVENTS_L)),
     "status_change": _events(lambda t: disconnection.status_changes(t, EVENTS_L)),
@@ -223,14 +223,15 @@ pairs as (
   where additionalinfo in ({_SERVICES}) and historytypekey in ('accServiceAdded', 'accServiceRemoved')),
 intervals as (
   select a.accountnum, a.additionalinfo, a.tstamp as add_date,
-    coalesce(r.tstamp, timestamp '2024-01-25') as remove_date
+    coalesce(r.tstamp, timestamp '2024-01-25') as remove_date, r.tstamp is null as is_open
   from (select * from pairs where historytypekey = 'accServiceAdded') as a
   left join (select * from pairs where historytypekey = 'accServiceRemoved') as r
     using (accountnum, additionalinfo, n)),
 covered as (
   select s.accountnum, s.snapshotdate, s.status, s.blocked, i.additionalinfo, i.add_date, i.remove_date
   from nobill_snapshot_subscription as s left join intervals as i
-    on i.accountnum = s.accountnum and s.snapshotdate + 1 >= i.add_date and s.snapshotdate + 1 < i.remove_date
+    on i.accountnum = s.accountnum and s.snapshotdate + 1 >= i.add_date
+      and (i.is_open or s.snapshotdate + 1 < i.remove_date)
   where s.{_ORDINARY}),
 days as (
   select accountnum, snapshotdate, max(
@@ -390,7 +391,7 @@ from ne_scusertaghistory as h left join ne_scuserschannelspermission as p on p.I
 where h.TagID = 3
 qualify row_number() over (partition by p.MSISDN order by h.DateTime desc, h.ID desc) = 1""",
     ),
-    "block_pairing": (_LINE_TABLES, f"{_INTERVALS} select * from intervals"),
+    "block_pairing": (_LINE_TABLES, f"{_INTERVALS} select accountnum, additionalinfo, add_date, remove_date from intervals"),
     "interval_join": (_LINE_TABLES, f"{_INTERVALS} select * from covered"),
     "status_change": (_LINE_TABLES, f"{_INTERVALS} select * from changes where line_status <> prev_status"),
     "disconnection_date": (

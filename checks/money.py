@@ -29,7 +29,7 @@ def _classified(tables):
 
 def _dated(tables):
     days = payments.daily_payments(tables, ORDERS_L)
-    joined = days.join(payments.number_intervals(tables), "Uid").where(
+    joined = days.join(payments.number_intervals(tables, ORDERS_L), "Uid").where(
         (F.col("paid_on") >= F.col("min_date")) & (F.col("paid_on") < F.col("max_date"))
     )
     return joined.select(
@@ -45,7 +45,7 @@ def _tiers(tables):
 QUERIES = {
     "payment_windows": _orders(lambda t: payments.payments(t, ORDERS_L)),
     "payment_classes": _orders(_classified),
-    "number_intervals": _orders(payments.number_intervals),
+    "number_intervals": _orders(lambda t: payments.number_intervals(t, ORDERS_L)),
     "payment_interval_join": _orders(_dated),
     "last_method": _orders(
         lambda t: payments.payments(t, ORDERS_L).select("IN_ACCOUNT_NUMBER", "PAYMENT_METHOD")
@@ -62,7 +62,7 @@ QUERIES = {
     "usage_core_metrics": _usage(lambda t: usage.daily_usage(t, "1998-06-15", "1998-07-15")),
     "usage_excluding_test": _usage(
         lambda t: usage.without_test_accounts(
-            t["nobill_aggr_ws_cost_v3"].groupBy("ad_accountnum").agg(F.count(F.lit(1)).alias("usage_rows")),
+            t.history("nobill_aggr_ws_cost_v3", ORDERS_L).groupBy("ad_accountnum").agg(F.count(F.lit(1)).alias("usage_rows")),
             t,
             "ad_accountnum",
         )

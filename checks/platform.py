@@ -89,7 +89,7 @@ QUERIES = {
     "tenure_months": _orders(lambda t: plan.tenure_months(t, ORDERS_L)),
     "plan_report": _orders(lambda t: plan.plan_report(t, ORDERS_L)),
     "paused_no_active": _orders(lambda t: plan.plan_paused(t, ORDERS_L)),
-    "sharing_balance": _orders(lambda t: engagement.data_sharing(t, HISTORY_SINCE)),
+    "sharing_balance": _orders(lambda t: engagement.data_sharing(t, ORDERS_L, HISTORY_SINCE)),
 }
 
 _EVENT_ROWS = """
@@ -214,10 +214,10 @@ def _booster_sql() -> str:
     for name, kind in [("NATL", "VOICE_LCL"), ("INTL", "VOICE_INT"), ("DATA", "DATA")]:
         mine = f"EVENT_IN_EVENT_GROUP = 'Booster' and EVENT_IN_SERVICE_TYPE = '{kind}'"
         life += [
-            f"cast(coalesce(sum(EVENT_IN_TOTAL_QUANTITY) filter ({mine}), 0) as bigint) as TOTAL_{name}_BOOSTER_QTY",
+            f"cast(coalesce(sum(EVENT_IN_TOTAL_QUANTITY) filter ({mine}), 0) as double) as TOTAL_{name}_BOOSTER_QTY",
             f"max(EVENT_IN_DATE) filter ({mine}) as LAST_{name}_BOOSTER_DATE",
             f"cast(coalesce(sum(EVENT_IN_TOTAL_QUANTITY) filter ({mine} and EVENT_IN_DATE < date '1998-06-15'), 0) "
-            f"as bigint) as TOTAL_{name}_BOOSTER_BEFORE30D_QTY",
+            f"as double) as TOTAL_{name}_BOOSTER_BEFORE30D_QTY",
         ]
         for suffix, (start, end) in _BOOSTER_WINDOWS.items():
             test = (
@@ -225,7 +225,7 @@ def _booster_sql() -> str:
                 f"and e.EVENT_IN_DATE >= date '{start}' and e.EVENT_IN_DATE < date '{end}'"
             )
             recent.append(
-                f"cast(coalesce(sum(e.EVENT_IN_TOTAL_QUANTITY) filter ({test}), 0) as bigint) "
+                f"cast(coalesce(sum(e.EVENT_IN_TOTAL_QUANTITY) filter ({test}), 0) as double) "
                 f"as BOOSTER_TOTAL_{name}_COUNT_{suffix}"
             )
     lists = (",\n    ".join(life), ",\n    ".join(recent))
@@ -247,10 +247,11 @@ def _profile_sql() -> str:
     def profile(name: str) -> str:
         return f"""
   case when TOTAL_{name}_BOOSTER_QTY = 0 then 'Never'
-    when BOOSTER_TOTAL_{name}_COUNT_LAST_30DAYS > 0 then
-      case when BOOSTER_TOTAL_{name}_COUNT_LAST_31_60DAYS > 0 then 'Frequent'
+    when BOOSTER_TOTAL_{name}_COUNT_LAST_30DAYS >= 1 then
+      case when BOOSTER_TOTAL_{name}_COUNT_LAST_31_60DAYS >= 1 then 'Frequent'
         when TOTAL_{name}_BOOSTER_BEFORE30D_QTY <= 0 then '1st Time' else 'Occasional' end
-    when TOTAL_{name}_BOOSTER_BEFORE30D_QTY = 1 then 'One Time' else 'Occasional' end
+    when coalesce(BOOSTER_TOTAL_{name}_COUNT_LAST_30DAYS, 0) = 0
+      and TOTAL_{name}_BOOSTER_BEFORE30D_QTY = 1 then 'One Time' else 'Occasional' end
     as BOOSTER_PURCHASE_PROFILE_{name}"""
 
     known = [f"BOOSTER_TOTAL_{n}_COUNT_{w}" for n in ("NATL", "INTL", "DATA") for w in _BOOSTER_WINDOWS]

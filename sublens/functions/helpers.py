@@ -7,8 +7,6 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
 
 def total(condition: Column, value) -> Column:
     """Sum of ``value`` where the condition holds, 0 elsewhere (never NULL for a non-empty group)."""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sublens.functions.decode import purchase_profile
-from sublens.functions.helpers import flag, latest, total, window_total
+from sublens.functions.helpers import as_double, flag, latest, total, window_total
 from sublens.load_date import LoadDate, within
 
 # Fixed values.
@@ -64,6 +64,11 @@ def kinds_per_event(tables) -> DataFrame:
     )
 
 
+def _times(amount: Column, rows: str) -> Column:
+    """Exact product of an amount and a number of rows; a wider count would cost decimals."""
+    return amount.cast("decimal(28,10)") * F.coalesce(rows, F.lit(0)).cast("decimal(9,0)")
+
+
 def booster_counts(tables, load_date) -> DataFrame:
     """In-life totals, last dates and window counts per account in one pass over the fact.
 
@@ -72,17 +77,28 @@ def booster_counts(tables, load_date) -> DataFrame:
     """
     day = LoadDate.of(load_date)
     booster = F.col("EVENT_IN_EVENT_GROUP") == "Booster"
-    quantity = F.when(booster, F.col("EVENT_IN_TOTAL_QUANTITY")).otherwise(0)
-    events = (
-        tables["event_in_booster"]
+    quantity = F.when(booster, F.col("quantity")).otherwise(0)
+    # summed by all that is looked at before the lookup, so that no event id is hot
+    summed = (
+        tables.history("event_in_booster", day)
         .where(F.col("EVENT_IN_EVENT_GROUP").isin(EVENT_GROUPS))
-        .join(kinds_per_event(tables), "EVENT_IN_EVENT_ID", "left")
+        .groupBy(
+            "EVENT_IN_ACCOUNT_NUMBER",
+            "EVENT_IN_DATE",
+            "EVENT_IN_EVENT_ID",
+            "EVENT_IN_EVENT_GROUP",
+            "EVENT_IN_SERVICE_TYPE",
+        )
+        .agg(F.sum("EVENT_IN_TOTAL_QUANTITY").alias("quantity"))
+    )
+    events = (
+        summed.join(kinds_per_event(tables), "EVENT_IN_EVENT_ID", "left")
         .select(
             F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER"),
             F.col("EVENT_IN_DATE").alias("event_date"),
             F.when(booster, F.col("EVENT_IN_SERVICE_TYPE")).alias("kind"),
             quantity.alias("quantity"),
-            *[(quantity * F.coalesce(f"rows_{label}", F.lit(0))).alias(f"filed_{label}") for label in KINDS],
+            *[_times(quantity, f"rows_{label}").alias(f"filed_{label}") for label in KINDS],
         )
     )
     on = F.col("event_date")
@@ -91,14 +107,14 @@ def booster_counts(tables, load_date) -> DataFrame:
     for label, name in KINDS.items():
         kind = F.col("kind") == name
         aggregates += [
-            total(kind, F.col("quantity")).alias(f"TOTAL_{label}_BOOSTER_QTY"),
+            as_double(total(kind, F.col("quantity"))).alias(f"TOTAL_{label}_BOOSTER_QTY"),
             latest(kind, on).alias(f"LAST_{label}_BOOSTER_DATE"),
-            total(kind & (on < F.lit(day.back(30))), F.col("quantity")).alias(
+            as_double(total(kind & (on < F.lit(day.back(30))), F.col("quantity"))).alias(
                 f"TOTAL_{label}_BOOSTER_BEFORE30D_QTY"
             ),
         ]
         for suffix, window in purchase_windows(day).items():
-            count = window_total("event_date", window, f"filed_{label}")
+            count = as_double(window_total("event_date", window, f"filed_{label}"))
             aggregates.append(
                 F.when(seen_lately, count).alias(f"BOOSTER_TOTAL_{label}_COUNT_{suffix}")
             )

@@ -14,9 +14,9 @@ from sublens.operators.latest import first_per_key, newest_first
 DEPARTED_DAYS = 91
 
 
-def eligible_snapshots(tables) -> DataFrame:
+def eligible_snapshots(tables, load_date) -> DataFrame:
     """Snapshots of ordinary subscriptions; an unknown subscription type is dropped."""
-    snapshots = tables["nobill_snapshot_subscription"]
+    snapshots = tables.history("nobill_snapshot_subscription", load_date)
     return snapshots.where(~F.col("subscriptiontype").isin(decode.SPECIAL_SUBSCRIPTIONS))
 
 
@@ -25,19 +25,19 @@ def number_states(tables, load_date) -> DataFrame:
     day = LoadDate.of(load_date)
     blocked = decode.blocked_label(F.col("blocked"))
     return (
-        eligible_snapshots(tables)
+        eligible_snapshots(tables, day)
         .where(F.col("snapshotdate") == F.lit(day.previous))
         .withColumn("blocked_status", blocked)
         .withColumn("number_status", decode.number_status(F.col("status"), F.col("blocked_status")))
     )
 
 
-def latest_block(tables) -> DataFrame:
+def latest_block(tables, load_date) -> DataFrame:
     """The newest blocking event per account, kept only if it put a block on.
 
     Removals take part in the ranking, so the filter has to follow it.
     """
-    events = tables["nobill_tx_account_history"].where(
+    events = tables.history("nobill_tx_account_history", load_date).where(
         F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
     )
     newest = first_per_key(
@@ -50,7 +50,7 @@ def latest_block(tables) -> DataFrame:
 
 def current_lines(tables, load_date) -> DataFrame:
     numbers = number_states(tables, load_date)
-    blocks = latest_block(tables).select("accountnum", F.col("additionalinfo").alias("block_service"))
+    blocks = latest_block(tables, load_date).select("accountnum", F.col("additionalinfo").alias("block_service"))
     status = decode.line_status(
         F.col("status"), F.col("blocked_status"), F.col("number_status"), F.col("block_service")
     )
@@ -65,7 +65,7 @@ def departed_accounts(tables, load_date, days: int = DEPARTED_DAYS) -> DataFrame
     One pass and one exchange: the test for L-1 is an aggregate next to the distinct.
     """
     day = LoadDate.of(load_date)
-    seen = eligible_snapshots(tables).where(F.col("snapshotdate") >= F.lit(day.back(days)))
+    seen = eligible_snapshots(tables, day).where(F.col("snapshotdate") >= F.lit(day.back(days)))
     return (
         seen.groupBy("accountnum")
         .agg(F.max(flag(F.col("snapshotdate") == F.lit(day.previous))).alias("present"))
@@ -117,7 +117,7 @@ def termination_date(tables, load_date, days: int = DEPARTED_DAYS) -> DataFrame:
     as an account is NULL, so they stay separate.
     """
     day = LoadDate.of(load_date)
-    snapshots = eligible_snapshots(tables)
+    snapshots = eligible_snapshots(tables, day)
     recent = snapshots.where(F.col("snapshotdate") >= F.lit(day.back(days)))
     last_seen = recent.groupBy("accountnum").agg(F.max("snapshotdate").alias("last_seen"))
     present = snapshots.where(F.col("snapshotdate") == F.lit(day.previous)).select("accountnum")

@@ -13,14 +13,13 @@ from sublens.operators.ordered import paired_in_order
 from sublens.plans.customer_base import eligible_snapshots
 
 
-def block_intervals(tables, load_date) -> DataFrame:
-    """(account, service, add, remove): the n-th add with the n-th remove; still open means until L."""
-    day = LoadDate.of(load_date)
-    changes = tables["nobill_tx_account_history"].where(
+def paired_blocks(tables, load_date) -> DataFrame:
+    """(account, service, add, remove): the n-th add with the n-th remove, NULL while still open."""
+    changes = tables.history("nobill_tx_account_history", load_date).where(
         F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
         & F.col("historytypekey").isin(decode.SERVICE_ADDED, decode.SERVICE_REMOVED)
     )
-    pairs = paired_in_order(
+    return paired_in_order(
         changes,
         keys=["accountnum", "additionalinfo"],
         at="tstamp",
@@ -28,21 +27,38 @@ def block_intervals(tables, load_date) -> DataFrame:
         opened_at="add_date",
         closed_at="remove_date",
     )
-    still_open = F.lit(day.day).cast("timestamp_ntz")
-    return pairs.withColumn("remove_date", F.coalesce("remove_date", still_open))
+
+
+def block_intervals(tables, load_date) -> DataFrame:
+    """The blocks, those still open shown as lasting until L."""
+    still_open = F.lit(LoadDate.of(load_date).day).cast("timestamp_ntz")
+    return paired_blocks(tables, load_date).withColumn("remove_date", F.coalesce("remove_date", still_open))
+
+
+def covering_blocks(tables, load_date) -> DataFrame:
+    """The blocks with the moment until which they cover: an open one also covers the newest snapshot,
+    which is tested at midnight of L."""
+    day = LoadDate.of(load_date)
+    return paired_blocks(tables, day).select(
+        "accountnum",
+        "additionalinfo",
+        "add_date",
+        F.coalesce("remove_date", F.lit(day.day).cast("timestamp_ntz")).alias("remove_date"),
+        F.coalesce("remove_date", F.lit(day.back(-1)).cast("timestamp_ntz")).alias("covers_until"),
+    )
 
 
 def snapshots_with_blocks(tables, load_date) -> DataFrame:
     """Each snapshot with the blocks in force at the end of its day; overlapping blocks repeat it."""
-    snapshots = eligible_snapshots(tables).select("accountnum", "snapshotdate", "status", "blocked")
+    snapshots = eligible_snapshots(tables, load_date).select("accountnum", "snapshotdate", "status", "blocked")
     return interval_join(
         snapshots,
-        block_intervals(tables, load_date),
+        covering_blocks(tables, load_date),
         on=["accountnum"],
         point=F.date_add("snapshotdate", 1).cast("timestamp_ntz"),
         start="add_date",
-        end="remove_date",
-    )
+        end="covers_until",
+    ).drop("covers_until")
 
 
 def status_changes(tables, load_date) -> DataFrame:
@@ -84,14 +100,14 @@ def disconnection_date(tables, load_date) -> DataFrame:
     calendar day of an account.
     """
     open_line = (F.col("status") == decode.ACTIVE_LINE) & (F.col("blocked") == 0)
-    snapshots = eligible_snapshots(tables).select(
+    snapshots = eligible_snapshots(tables, load_date).select(
         "accountnum",
         F.date_add("snapshotdate", 1).alias("moment"),
         F.coalesce(open_line, F.lit(False)).alias("open_line"),
         F.lit(0).alias("change"),
     )
-    edges = block_intervals(tables, load_date).select(
-        "accountnum", _day_on_or_after("add_date").alias("from"), _day_on_or_after("remove_date").alias("to")
+    edges = covering_blocks(tables, load_date).select(
+        "accountnum", _day_on_or_after("add_date").alias("from"), _day_on_or_after("covers_until").alias("to")
     )
     covering = F.col("accountnum").isNotNull() & (F.col("from") < F.col("to"))
     steps = edges.where(covering).select(

@@ -87,9 +87,9 @@ def roaming_trips(tables, load_date, id_block: int = ID_BLOCK) -> DataFrame:
     )
 
 
-def data_sharing(tables, since: date = SHARING_SINCE) -> DataFrame:
+def data_sharing(tables, load_date, since: date = SHARING_SINCE) -> DataFrame:
     """The donation on the longest-running plan of an account and what may still be shared of it."""
-    donations = tables["po_sre_actionhistory"].where(
+    donations = tables.history("po_sre_actionhistory", load_date).where(
         (F.col("ActionId") == SHARE_ACTION)
         & (F.to_date("DateTime") >= F.lit(since))
         & (F.col("StatusId") == DONE)
@@ -151,9 +151,9 @@ def loyalty_points(tables, load_date) -> DataFrame:
     )
 
 
-def loyalty_tier(tables) -> DataFrame:
+def loyalty_tier(tables, load_date) -> DataFrame:
     """Tier of the newest cashback row that has one, per loyalty customer."""
-    tiered = tables["loy_customer_cashback"].where(F.col("tier_id").isNotNull())
+    tiered = tables.history("loy_customer_cashback", load_date).where(F.col("tier_id").isNotNull())
     newest = first_per_key(
         tiered, ["customer_id"], [F.desc_nulls_last("CREATE_DATE"), F.desc_nulls_last("id")]
     )

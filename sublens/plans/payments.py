@@ -32,9 +32,9 @@ def payment_windows(load_date) -> dict[str, tuple[date, date]]:
     }
 
 
-def number_intervals(tables) -> DataFrame:
+def number_intervals(tables, load_date) -> DataFrame:
     """From when to when an account held a number, where its activation falls into that time."""
-    held = tables["nobill_snapshot_subscription"].groupBy("phonenumber", "accountnum").agg(
+    held = tables.history("nobill_snapshot_subscription", load_date).groupBy("phonenumber", "accountnum").agg(
         F.min("snapshotdate").alias("min_date"), F.max("snapshotdate").alias("max_date")
     )
     master = tables["customer_master"].select(
@@ -89,7 +89,7 @@ def classified_payments(tables, load_date, days: int = SCAN_DAYS) -> DataFrame:
             F.to_date("CreationDate").alias("paid_on"),
             decode.payment_status(F.col("Status")).alias("status"),
             decode.payment_channel(F.col("ChannelName")).alias("channel"),
-            (F.col("Amount") * F.col("times")).cast("decimal(28,2)").alias("amount"),
+            (F.col("Amount") * F.col("times").cast("decimal(9,0)")).alias("amount"),
             "times",
         )
     )
@@ -114,7 +114,7 @@ def payments(tables, load_date) -> DataFrame:
     """
     day = LoadDate.of(load_date)
     on = F.col("paid_on")
-    dated = daily_payments(tables, day).join(number_intervals(tables), "Uid").where(
+    dated = daily_payments(tables, day).join(number_intervals(tables, day), "Uid").where(
         (on >= F.col("min_date")) & (on < F.col("max_date"))
     )
     windows = payment_windows(day)
@@ -151,9 +151,9 @@ def voucher_adjustments(tables, start: date, end: date) -> DataFrame:
     )
 
 
-def crm_accounts_per_account(tables) -> DataFrame:
+def crm_accounts_per_account(tables, load_date) -> DataFrame:
     """How many CRM accounts name an account as theirs; each repeats the account's vouchers."""
-    owner = tables["cas_tx_activations"].groupBy("CRMAccountNo").agg(F.max("NobillAccountNo").alias("owned"))
+    owner = tables.history("cas_tx_activations", load_date).groupBy("CRMAccountNo").agg(F.max("NobillAccountNo").alias("owned"))
     return owner.groupBy(number_key(F.col("owned")).alias("fad_accountnum")).agg(
         F.count(F.lit(1)).alias("times")
     )
@@ -176,10 +176,10 @@ def vouchers(tables, load_date) -> DataFrame:
         newest.alias("newest"),
     )
     times = F.coalesce("times", F.lit(1))
-    return per_account.join(crm_accounts_per_account(tables), "fad_accountnum", "left").select(
+    return per_account.join(crm_accounts_per_account(tables, day), "fad_accountnum", "left").select(
         F.lit(day.previous).alias("load_date"),
         F.col("fad_accountnum").alias("IN_ACCOUNT_NUMBER"),
-        as_double(F.col("value") * times).alias("VOUCHERS_TOTAL_VALUE_REDEEMED"),
+        (as_double(F.col("value")) * times).alias("VOUCHERS_TOTAL_VALUE_REDEEMED"),
         (F.col("count") * times).alias("VOUCHERS_TOTAL_COUNT"),
         F.datediff(F.lit(day.day), F.to_date("newest.fad_time_stamp")).alias("VOUCHER_LAST_REDEMPTION_DATE"),
         as_double(F.col("newest.fad_amount")).alias("VOUCHER_LAST_REDEEMED_AMOUNT"),

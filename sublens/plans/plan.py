@@ -31,7 +31,7 @@ NUMERIC_ACCOUNT = "^[0-9.-]+$"
 def latest_positive_balances(tables, load_date) -> DataFrame:
     """Newest positive balance per (account, annual counter)."""
     day = LoadDate.of(load_date)
-    balances = tables["nobill_snapshot_daily_balance"].where(
+    balances = tables.history("nobill_snapshot_daily_balance", day).where(
         (F.col("snapshotdate") >= F.lit(day.back(BALANCE_DAYS)))
         & F.col("countername").isin(ANNUAL_COUNTERS)
         & (F.col("balance") > 0)
@@ -348,8 +348,8 @@ def renewal_dates(plans: DataFrame, tables, load_date) -> DataFrame:
     )
 
 
-def first_plan_dates(tables) -> DataFrame:
-    first = tables["po_sre_actionhistory"].where(
+def first_plan_dates(tables, load_date) -> DataFrame:
+    first = tables.history("po_sre_actionhistory", load_date).where(
         F.col("ActionId").isin(PLAN_ACTIONS)
         & (F.col("StatusId") == DONE)
         & F.col("SubscriptionId").isNotNull()
@@ -364,7 +364,7 @@ def tenure_months(tables, load_date) -> DataFrame:
         F.col("IN_ACCOUNT_NUMBER").alias("NobillAccountNo"),
         F.to_date("FULL_ACTIVATION_DATE").alias("activated"),
     )
-    first = first_plan_dates(tables).withColumnRenamed("CustomerId", "Id")
+    first = first_plan_dates(tables, day).withColumnRenamed("CustomerId", "Id")
     age = F.datediff(F.lit(day.day), F.coalesce("activated", "FIRST_PLAN_DATE"))
     return (
         preferred_customers(tables)

@@ -49,33 +49,33 @@ def account_limit_flags(tables, limit: int = ACCOUNT_LIMIT) -> DataFrame:
     )
 
 
-def survey_answers(tables) -> DataFrame:
+def survey_answers(tables, load_date) -> DataFrame:
     """Survey answers whose free text holds an account number of at least two digits."""
-    answers = tables["usabilla_data"].withColumn("UID", digits(F.col("extra_info")))
+    answers = tables.history("usabilla_data", load_date).withColumn("UID", digits(F.col("extra_info")))
     return answers.where(F.length("UID") > 1)
 
 
-def survey_rows(tables) -> DataFrame:
+def survey_rows(tables, load_date) -> DataFrame:
     """Every answer, once per matching campaign row."""
     campaigns = tables["usabilla_campaigns"]
-    return survey_answers(tables).join(campaigns, "campaign_id", "left").select("score", "UID")
+    return survey_answers(tables, load_date).join(campaigns, "campaign_id", "left").select("score", "UID")
 
 
-def survey_latest(tables) -> DataFrame:
+def survey_latest(tables, load_date) -> DataFrame:
     """The newest answer per UID. The campaign join could only repeat rows, so it is left out."""
-    answers = survey_answers(tables).withColumn("answered_at", F.col("_date").try_cast("timestamp_ntz"))
+    answers = survey_answers(tables, load_date).withColumn("answered_at", F.col("_date").try_cast("timestamp_ntz"))
     newest = first_per_key(
         answers, ["UID"], [F.desc_nulls_last("answered_at"), F.desc_nulls_last("score")]
     )
     return newest.select("score", "UID")
 
 
-def survey_counts(tables) -> DataFrame:
+def survey_counts(tables, load_date) -> DataFrame:
     """How many answer rows each account has: all a pipeline needs that does not show the score."""
     per_campaign = tables["usabilla_campaigns"].groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("campaign_rows")
     )
-    answers = survey_answers(tables).groupBy("UID", "campaign_id").agg(F.count(F.lit(1)).alias("answers"))
+    answers = survey_answers(tables, load_date).groupBy("UID", "campaign_id").agg(F.count(F.lit(1)).alias("answers"))
     rows = answers.join(per_campaign, "campaign_id", "left").withColumn(
         "answer_rows", F.col("answers") * F.coalesce("campaign_rows", F.lit(1))
     )
@@ -85,14 +85,14 @@ def survey_counts(tables) -> DataFrame:
     )
 
 
-def with_survey_fan_out(df: DataFrame, tables) -> DataFrame:
+def with_survey_fan_out(df: DataFrame, tables, load_date) -> DataFrame:
     """One row per survey answer, without carrying the answers through the join."""
-    return repeat_rows(df.join(survey_counts(tables), "IN_ACCOUNT_NUMBER", "left"), "answer_rows")
+    return repeat_rows(df.join(survey_counts(tables, load_date), "IN_ACCOUNT_NUMBER", "left"), "answer_rows")
 
 
 def acquisition(tables, load_date, base: DataFrame | None = None) -> DataFrame:
     day = LoadDate.of(load_date)
-    registrations = tables["vmwsc_registration"].select(
+    registrations = tables.history("vmwsc_registration", day).select(
         F.col("ID").alias("REGISTRATION_ID"), "IsEmailVerified"
     )
     port_ins = ported_in(tables, day).withColumnRenamed("accountnum", "IN_ACCOUNT_NUMBER")
@@ -100,7 +100,8 @@ def acquisition(tables, load_date, base: DataFrame | None = None) -> DataFrame:
     typed = with_existence(
         customers, port_ins, "IN_ACCOUNT_NUMBER", "ACTIVATION_TYPE", "MNP", "Standard"
     )
-    complete = with_survey_fan_out(typed, tables).join(registrations, "REGISTRATION_ID", "left")
+    # copies of an account come last, so that no later join has to shuffle them by one key
+    complete = with_survey_fan_out(typed.join(registrations, "REGISTRATION_ID", "left"), tables, day)
     return complete.select(
         "IN_ACCOUNT_NUMBER",
         decode.payment_channel_fold(F.col("FLAG_POD_POS_COD")).alias("ACTIVATION_PAYMENT_CHANNEL"),
@@ -119,7 +120,7 @@ def acquisition(tables, load_date, base: DataFrame | None = None) -> DataFrame:
 
 def demographics(tables, load_date, base: DataFrame | None = None) -> DataFrame:
     day = LoadDate.of(load_date)
-    customers = with_survey_fan_out(known_customers(tables, day, base), tables)
+    customers = with_survey_fan_out(known_customers(tables, day, base), tables, day)
     birth = F.col("CUST_DOB")
     return customers.select(
         "IN_ACCOUNT_NUMBER",
@@ -159,7 +160,7 @@ def status(
         .join(port_out_days(tables, day), "IN_ACCOUNT_NUMBER", "left")
         .join(account_limit_flags(tables), "CUST_LATEST_ID_NUMBER", "left")
     )
-    answers = survey_latest(tables) if newest_answer_only else survey_rows(tables)
+    answers = survey_latest(tables, day) if newest_answer_only else survey_rows(tables, day)
     scores = answers.select(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), "score")
     if newest_answer_only:
         scored = complete.join(scores, "IN_ACCOUNT_NUMBER", "left")
@@ -189,7 +190,7 @@ def duplicate_audit(tables, load_date, newest_answer_only: bool = False) -> Data
     if newest_answer_only:
         return duplicated_keys(status(tables, load_date), "IN_ACCOUNT_NUMBER")
     accounts = known_customers(tables, load_date)
-    weighted = accounts.join(survey_counts(tables), "IN_ACCOUNT_NUMBER", "left")
+    weighted = accounts.join(survey_counts(tables, load_date), "IN_ACCOUNT_NUMBER", "left")
     rows = F.sum(F.coalesce("answer_rows", F.lit(1)))
     return weighted.groupBy("IN_ACCOUNT_NUMBER").agg(rows.alias("ROW_COUNT")).where(F.col("ROW_COUNT") > 1)
 
@@ -224,9 +225,9 @@ def registered_not_activated(tables, start, end) -> DataFrame:
     )
 
 
-def newest_tags(tables, tag: int = 3) -> DataFrame:
+def newest_tags(tables, load_date, tag: int = 3) -> DataFrame:
     """The newest history row of the tag per number; rows of unknown users share the missing number."""
-    tagged = tables["ne_scusertaghistory"].where(F.col("TagID") == tag)
+    tagged = tables.history("ne_scusertaghistory", load_date).where(F.col("TagID") == tag)
     numbers = tables["ne_scuserschannelspermission"].select(F.col("ID").alias("SCUserPerID"), "MSISDN")
     return first_per_key(
         tagged.join(numbers, "SCUserPerID", "left"),
@@ -235,7 +236,7 @@ def newest_tags(tables, tag: int = 3) -> DataFrame:
     )
 
 
-def tag_cohort(tables, tag: int = 3) -> DataFrame:
+def tag_cohort(tables, load_date, tag: int = 3) -> DataFrame:
     """Accounts whose number carries the tag."""
-    tagged = newest_tags(tables, tag).select("MSISDN")
+    tagged = newest_tags(tables, load_date, tag).select("MSISDN")
     return tables["customer_master"].join(tagged, "MSISDN").select("IN_ACCOUNT_NUMBER")

@@ -31,16 +31,48 @@ def excluded_accounts(tables) -> DataFrame:
     return tests.select("accountnum")
 
 
-def counted_usage(tables, start: date, end: date) -> DataFrame:
-    """Usage rows of ``[start, end]`` on counted counter types, with their service keys."""
+def _amounts() -> dict[str, Column]:
+    """The additive amounts of a usage row by name."""
+    amounts = {
+        "received": F.col("ad_total_revenue_received") - F.col("ad_total_tax_amount"),
+        "expired": F.col("ad_total_revenue_received_expired_bundle") - F.col("ad_total_tax_amount_expired_bundle"),
+        "transferred": F.col("ad_total_revenue_received_transfer_bundle")
+        - F.col("ad_total_tax_amount_transfer_bundle"),
+    }
+    plain = [
+        "ad_total_revenue_net",
+        "ad_total_duration",
+        "ad_total_duration_payg",
+        "ad_total_duration_counter",
+        "ad_total_data_volume",
+        "ad_total_data_volume_counter",
+        "ad_total_data_volume_payg",
+        "ad_total_counter_data_volume_transfer",
+        "ad_total_sms",
+        "ad_total_adjustment_amount",
+    ]
+    return amounts | {name: F.col(name) for name in plain}
+
+
+def counted_usage(tables, start: date, end: date, per: Sequence[str] = ()) -> DataFrame:
+    """Usage of ``[start, end]`` on counted counter types, summed per account and day, with service keys.
+
+    The fact is summed by all that later tests look at before it meets a lookup, so what is shuffled
+    for the lookups is a small part of it, and no counter type or transaction key is hot.
+    """
     counters = tables["nobill_dim_counter_type"].where(
         F.col("dcr_category_8").try_cast("int").isin(COUNTED_CATEGORIES)
     )
     keys = tables["nobill_dim_transaction_key"].withColumnRenamed("transaction_id", "ad_transaction_id")
-    return (
+    keys_of_fact = ["ad_date", "ad_accountnum", "ad_counter_type_id", "ad_transaction_id", *per]
+    summed = (
         tables["nobill_aggr_ws_cost_v3"]
         .where(within_closed(F.col("ad_date"), start, end))
-        .join(
+        .groupBy(*keys_of_fact, F.col("ad_terminationreason").isin(ANSWERED).alias("answered"))
+        .agg(*[F.sum(amount).alias(name) for name, amount in _amounts().items()])
+    )
+    return (
+        summed.join(
             counters.select(
                 F.col("dcr_counter_type_id").alias("ad_counter_type_id"),
                 "dcr_category_2",
@@ -69,7 +101,7 @@ def _service(group: str, kind: str | None = None, traffic: str | None = None) ->
 
 def minutes(kind: str, traffic: str | None = None) -> Column:
     """Test for answered voice traffic of a direction (MOC outgoing, MTC incoming)."""
-    return _service("Voice", kind, traffic) & F.col("ad_terminationreason").isin(ANSWERED)
+    return _service("Voice", kind, traffic) & F.col("answered")
 
 
 # Sums are taken over the whole numbers that the source holds (bytes, milliseconds) and turned
@@ -84,11 +116,7 @@ def as_minutes(milliseconds: Column) -> Column:
 
 def core_metrics() -> dict[str, Column]:
     """The full set of daily measures as aggregates over ``counted_usage`` with event categories."""
-    received = F.col("ad_total_revenue_received") - F.col("ad_total_tax_amount")
-    expired = F.col("ad_total_revenue_received_expired_bundle") - F.col("ad_total_tax_amount_expired_bundle")
-    transferred = F.col("ad_total_revenue_received_transfer_bundle") - F.col(
-        "ad_total_tax_amount_transfer_bundle"
-    )
+    received, expired, transferred = F.col("received"), F.col("expired"), F.col("transferred")
     event_class = F.col("dev_category_3")
     duration = F.col("ad_total_duration")
     bundle_volume = F.col("ad_total_data_volume_counter")
@@ -174,7 +202,7 @@ def daily_usage(tables, start, end) -> DataFrame:
         dev_category_3="dev_category_3",
         dev_event_name="dev_event_name",
     ).withColumnRenamed("dev_eventid_base", "ad_eventid")
-    usage = counted_usage(tables, start, end).join(events, "ad_eventid", "left")
+    usage = counted_usage(tables, start, end, ["ad_eventid"]).join(events, "ad_eventid", "left")
     per_day = usage.groupBy("ad_date", F.col("ad_accountnum").alias("IN_ACCOUNT_NUMBER")).agg(
         *[column.alias(name) for name, column in core_metrics().items()]
     )
@@ -182,7 +210,8 @@ def daily_usage(tables, start, end) -> DataFrame:
 
 
 def usage_windows_of(load_date) -> dict[str, tuple[date, date]]:
-    """Closed windows by label; rolling windows share their edge days, months are those of L itself."""
+    """Closed windows by label; rolling windows share their edge days, months are those of L itself,
+    the current one up to L."""
     day = LoadDate.of(load_date)
     windows = {
         "30_days": (day.back(30), day.day),
@@ -191,7 +220,7 @@ def usage_windows_of(load_date) -> dict[str, tuple[date, date]]:
     }
     for n in range(3):
         start, following = day.load_month(n)
-        windows[f"M_{n}"] = (start, LoadDate(following).previous)
+        windows[f"M_{n}"] = (start, min(LoadDate(following).previous, day.day))
     return windows
 
 

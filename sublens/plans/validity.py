@@ -38,18 +38,18 @@ def _decoded(col: Column, names: dict, otherwise) -> Column:
     return chain.otherwise(otherwise)
 
 
-def newest_activated_record(tables) -> DataFrame:
+def newest_activated_record(tables, load_date) -> DataFrame:
     """Per account, the customer record behind its newest activation.
 
     Records are cut to the newest per contact before the join, so an account with many
     activations and many records is never multiplied out.
     """
     records = first_per_key(
-        tables["customerdb_customers"].where(F.col("NobillContactId").isNotNull()),
+        tables.history("customerdb_customers", load_date).where(F.col("NobillContactId").isNotNull()),
         ["NobillContactId"],
         newest_first("Id"),
     )
-    activations = tables["cas_tx_activations"].select(
+    activations = tables.history("cas_tx_activations", load_date).select(
         F.col("NobillAccountNo").alias("IN_ACCOUNT_NUMBER"),
         F.col("NobillCustomerID").alias("NobillContactId"),
         "ActivationDate",
@@ -62,9 +62,9 @@ def newest_activated_record(tables) -> DataFrame:
     return newest.join(records, "NobillContactId")
 
 
-def newest_verified_record(tables) -> DataFrame:
+def newest_verified_record(tables, load_date) -> DataFrame:
     """Of the records with a verification status, the newest per contact."""
-    verified = newest_activated_record(tables).where(F.col("VerificationStatus").isNotNull())
+    verified = newest_activated_record(tables, load_date).where(F.col("VerificationStatus").isNotNull())
     return first_per_key(verified, ["Contactid"], newest_first("Id", "IN_ACCOUNT_NUMBER"))
 
 
@@ -94,9 +94,9 @@ def capped(reporting: Column, days: int, final: Column) -> Column:
     return F.when(extended > final, final).otherwise(extended)
 
 
-def registration_validity(tables, rules: ValidityRules = ValidityRules()) -> DataFrame:
+def registration_validity(tables, load_date, rules: ValidityRules = ValidityRules()) -> DataFrame:
     records = with_existence(
-        newest_verified_record(tables), visa_page_holders(tables), "Id", "visa_page", 1, 0
+        newest_verified_record(tables, load_date), visa_page_holders(tables), "Id", "visa_page", 1, 0
     )
     diplomat = F.coalesce((F.col("IsDiplomat") == 1) & F.col("DiplomaticId").isNotNull(), F.lit(False))
     typed = records.withColumns(
@@ -137,9 +137,9 @@ def registration_validity(tables, rules: ValidityRules = ValidityRules()) -> Dat
     )
 
 
-def verification_requests(tables) -> DataFrame:
+def verification_requests(tables, load_date) -> DataFrame:
     """Verification requests of the onboarding processes with process, status and id type names."""
-    requests = tables["cas_id_verification_request"].where(F.col("ProcessID").isin(REQUEST_PROCESSES))
+    requests = tables.history("cas_id_verification_request", load_date).where(F.col("ProcessID").isin(REQUEST_PROCESSES))
     processes = tables["cas_process"].select(F.col("ID").alias("ProcessID"), F.col("NAME").alias("ProcessNAME"))
     states = tables["cas_id_verification_status"].select(
         F.col("ID").alias("VerificationStatusID"), F.col("Name").alias("STATUSNAME")

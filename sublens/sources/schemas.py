@@ -4,6 +4,32 @@ Money is decimal, so that sums do not depend on row order. Timestamps carry no t
 the source systems. Column names are those of the source systems.
 """
 
+# When a row of a history became known. Pipelines read a history as it stood at the load date L: rows
+# dated before L, or up to the end of L where the family's windows are closed. Undated rows stay.
+HISTORIES = {
+    "nobill_snapshot_subscription": ("snapshotdate", False),
+    "nobill_tx_account_history": ("tstamp", False),
+    "nobill_tx_phonenumber_history": ("tstamp", False),
+    "usabilla_data": ("_date", False),
+    "vmwsc_registration": ("DateTime", False),
+    "cas_tx_activations": ("ActivationDate", False),
+    "customerdb_customers": ("RegistrationDate", False),
+    "cas_id_verification_request": ("CreationDate", False),
+    "po_sre_actionhistory": ("DateTime", False),
+    "po_sre_paymenthistory": ("DateTime", False),
+    "event_in_booster": ("EVENT_IN_DATE", False),
+    "nobill_fact_account_counter": ("facc_date", False),
+    "nobill_snapshot_daily_balance": ("snapshotdate", False),
+    "payment_paymenttransactions": ("CreationDate", False),
+    "nobill_fact_adjustment": ("fad_time_stamp", False),
+    "roaming_ussd_received_data": ("DATETIME", False),
+    "loy_customer_cashback": ("CREATE_DATE", False),
+    "ne_scusertaghistory": ("DateTime", False),
+    "nobill_aggr_ws_cost_v3": ("ad_date", True),
+    "nobill_fact_usage": ("fus_time_stamp", True),
+    "loy_customer_trx_log": ("CREATE_DATE", True),
+}
+
 SCHEMAS = {
     # Subscriber snapshots and histories.
     "nobill_snapshot_subscription": (
@@ -67,7 +93,7 @@ SCHEMAS = {
         "Id bigint, CustomerId bigint, StatusId int, StartDate timestamp_ntz, EndDate timestamp_ntz"
     ),
     "po_sre_paymenthistory": (
-        "ActionHistoryId bigint, PaymentMethodId int, PaidAmount decimal(18,2), IsSuccess boolean, "
+        "ActionHistoryId bigint, PaymentMethodId int, PaidAmount decimal(28,10), IsSuccess boolean, "
         "DateTime timestamp_ntz"
     ),
     "po_sre_shareplanhistory": (
@@ -76,7 +102,7 @@ SCHEMAS = {
     ),
     "po_po_service": (
         "Id bigint, Name string, ServiceChargingTypeId int, ServiceTypeId int, "
-        "ServiceCategoryId int, ServiceCost decimal(18,2), StatusId int, CreationDate timestamp_ntz"
+        "ServiceCategoryId int, ServiceCost decimal(28,10), StatusId int, CreationDate timestamp_ntz"
     ),
     "po_po_servicecategory": "Id int, Name string",
     "po_po_servicetype": "Id int, Name string",
@@ -87,8 +113,8 @@ SCHEMAS = {
         "EXCEL_SERVICE_DESCRIPTION string"
     ),
     "po_get_package_price": (
-        "ProductCode int, PackagePriceServices string, TotalCost decimal(18,2), "
-        "DiscountValue decimal(18,2), LastModifiedDate timestamp_ntz"
+        "ProductCode int, PackagePriceServices string, TotalCost decimal(28,10), "
+        "DiscountValue decimal(28,10), LastModifiedDate timestamp_ntz"
     ),
     "dim_product": "src_product_code int, business_product_name string",
     "nobill_dim_event": (
@@ -98,20 +124,20 @@ SCHEMAS = {
     ),
     "event_in_booster": (
         "EVENT_IN_DATE date, EVENT_IN_ACCOUNT_NUMBER string, EVENT_IN_EVENT_ID string, "
-        "EVENT_IN_EVENT_GROUP string, EVENT_IN_SERVICE_TYPE string, EVENT_IN_TOTAL_QUANTITY bigint"
+        "EVENT_IN_EVENT_GROUP string, EVENT_IN_SERVICE_TYPE string, EVENT_IN_TOTAL_QUANTITY decimal(28,10)"
     ),
     "nobill_fact_account_counter": (
         "facc_counterid bigint, facc_account_number bigint, facc_counter_type_id int, facc_date date, "
-        "facc_time_stamp timestamp_ntz, facc_updatetype int, facc_postvalue decimal(18,2)"
+        "facc_time_stamp timestamp_ntz, facc_updatetype int, facc_postvalue decimal(28,10)"
     ),
     "nobill_snapshot_daily_balance": (
         "counter_id bigint, account_num bigint, countername string, snapshotdate date, "
-        "balance decimal(18,2)"
+        "balance decimal(28,10)"
     ),
     # Payments, vouchers.
     "payment_paymenttransactions": (
         "ID bigint, StatusID int, PaymentChannelID int, ErrorID int, PaymentMethodID int, Uid string, "
-        "Amount decimal(18,2), CreationDate timestamp_ntz"
+        "Amount decimal(28,10), CreationDate timestamp_ntz"
     ),
     "payment_paymentstatus": "ID int, Status string",
     "payment_paymentchannel": "ID int, ChannelName string",
@@ -120,23 +146,23 @@ SCHEMAS = {
     "ref_payment_error": "payment_error_id int",
     "ref_payment_method": "payment_method_id int",
     "nobill_fact_adjustment": (
-        "fad_accountnum bigint, fad_time_stamp timestamp_ntz, fad_amount decimal(18,2), "
+        "fad_accountnum bigint, fad_time_stamp timestamp_ntz, fad_amount decimal(28,10), "
         "fad_adjustment_type_id int, fad_vouchernum string"
     ),
     "nobill_dim_adjustment_type": "dad_adjustment_type_id int, dad_adjustmenttypename string",
     # Usage.
     "nobill_aggr_ws_cost_v3": (
         "ad_date date, ad_accountnum bigint, ad_eventid int, ad_counter_type_id int, "
-        "ad_transaction_id int, ad_terminationreason int, ad_total_revenue_net decimal(18,2), "
-        "ad_total_revenue_received decimal(18,2), ad_total_tax_amount decimal(18,2), "
-        "ad_total_revenue_received_expired_bundle decimal(18,2), "
-        "ad_total_tax_amount_expired_bundle decimal(18,2), "
-        "ad_total_revenue_received_transfer_bundle decimal(18,2), "
-        "ad_total_tax_amount_transfer_bundle decimal(18,2), ad_total_duration bigint, "
+        "ad_transaction_id int, ad_terminationreason int, ad_total_revenue_net decimal(28,10), "
+        "ad_total_revenue_received decimal(28,10), ad_total_tax_amount decimal(28,10), "
+        "ad_total_revenue_received_expired_bundle decimal(28,10), "
+        "ad_total_tax_amount_expired_bundle decimal(28,10), "
+        "ad_total_revenue_received_transfer_bundle decimal(28,10), "
+        "ad_total_tax_amount_transfer_bundle decimal(28,10), ad_total_duration bigint, "
         "ad_total_duration_payg bigint, ad_total_duration_counter bigint, "
         "ad_total_data_volume bigint, ad_total_data_volume_counter bigint, "
         "ad_total_data_volume_payg bigint, ad_total_counter_data_volume_transfer bigint, "
-        "ad_total_sms bigint, ad_total_adjustment_amount decimal(18,2)"
+        "ad_total_sms bigint, ad_total_adjustment_amount decimal(28,10)"
     ),
     "nobill_dim_transaction_key": (
         "transaction_id int, service_group string, service_type string, "
@@ -158,7 +184,7 @@ SCHEMAS = {
     # Roaming, loyalty, notifications.
     "roaming_ussd_received_data": "ID bigint, MSISDN string, MCC string, DATETIME timestamp_ntz",
     "dim_roam_country_operator": "MCC string, country string",
-    "loy_customer_trx_log": "customer_id bigint, points decimal(18,2), CREATE_DATE timestamp_ntz",
+    "loy_customer_trx_log": "customer_id bigint, points decimal(28,10), CREATE_DATE timestamp_ntz",
     "loy_dim_customer": "ID bigint, identifier_value string",
     "loy_customer_cashback": "id bigint, customer_id bigint, tier_id int, CREATE_DATE timestamp_ntz",
     "loy_tier": "ID int, name_en string",

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sublens.sources.schemas import SCHEMAS
+from sublens.load_date import LoadDate
+from sublens.sources.schemas import HISTORIES, SCHEMAS
 
 
 @lru_cache(maxsize=None)
@@ -53,6 +54,19 @@ class Tables:
             self._opened[name] = conform(self.load(name), name)
         return self._opened[name]
 
+    def history(self, name: str, load_date) -> DataFrame:
+        """A dated table as it stood at the load date. The cut is a plain filter that reaches the scan."""
+        day = LoadDate.of(load_date)
+        column, closed = HISTORIES[name]
+        table = self[name]
+        known = F.col(column)
+        if isinstance(table.schema[column].dataType, T.StringType):
+            known = known.try_cast("timestamp_ntz")
+        edge = F.lit(day.back(-1) if closed else day.day)
+        if not isinstance(table.schema[column].dataType, T.DateType):
+            edge = edge.cast("timestamp_ntz")
+        return table.where((known < edge) | known.isNull())
+
     def load(self, name: str) -> DataFrame:
         raise NotImplementedError
 

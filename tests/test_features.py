@@ -58,7 +58,7 @@ def test_registration_validity_rules(spark, rows):
         ],
         wsc_countries_lookup=[{"alpha_3": "ARE", "name": "United Arab Emirates"}, {"alpha_3": "ARE", "name": "A"}],
     )
-    validity_of = {int(a): d for a, d in rows(validity.registration_validity(tables))}
+    validity_of = {int(a): d for a, d in rows(validity.registration_validity(tables, L))}
     assert validity_of == {
         1: date(2030, 1, 1),
         2: date(2022, 8, 30),
@@ -454,7 +454,7 @@ def test_data_sharing_remainder(spark, rows):
             {"Id": 3, "StartDate": at(1), "EndDate": None},
         ],
     )
-    found = engagement.data_sharing(tables)
+    found = engagement.data_sharing(tables, L)
     assert rows(found, "IN_ACCOUNT_NUMBER", "DATA_SHARING_DONATION_DATE", "DATA_AVAILABLE_TO_SHARE") == [
         ("1", back(5), 10000.0),
         ("2", back(5), 0.0),
@@ -478,7 +478,7 @@ def test_loyalty_keeps_the_row_without_account(spark, rows):
         loy_tier=[{"ID": 1, "name_en": "Silver"}, {"ID": 2, "name_en": "Gold"}],
     )
     assert rows(engagement.loyalty_points(tables, L)) == [("11", 11.0), (None, 9.0)]
-    assert rows(engagement.loyalty_tier(tables)) == [("11", "Gold")]
+    assert rows(engagement.loyalty_tier(tables, L)) == [("11", "Gold")]
 
 
 def test_plan_recommendations(spark):

@@ -46,7 +46,9 @@ CONTEXT = NEAR + 1 + NEAR_BINS
 ROWS = 4096
 HEAD = 1 << 18
 HELD = 1_000_000
-PARTS, ROUNDS, STEPS, RATE = 6, 5, 8, 0.4
+PARTS, ROUNDS, STEPS, RATE = 6, 5, 8, 0.2
+# Weight of a Gaussian prior around the start: contexts with few events stay close to plain frequencies.
+PRIOR = 2.0
 
 
 def endings(words: Words) -> np.ndarray:
@@ -205,8 +207,20 @@ def probabilities(weights: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray
     return _softmax(z[:, :CLASSES]), _softmax(z[:, CLASSES:].reshape(len(z), CLASSES, MEMBERS))
 
 
-def gradient_steps(weights: np.ndarray, squares: np.ndarray, contexts: np.ndarray, counts: np.ndarray, steps: int) -> None:
-    """Ascend the likelihood of counts[context, symbol] in place, a rate per weight."""
+def start_weights(symbol_counts: np.ndarray) -> np.ndarray:
+    """All zero but for the bias row, which gives each symbol its add-one frequency."""
+    weights = np.zeros((ROWS, CLASSES + SYMBOLS), np.float32)
+    grouped = (symbol_counts + 1.0).reshape(CLASSES, MEMBERS)
+    bias = feature_rows(np.zeros(1, np.int64))[0, 0]
+    weights[bias, :CLASSES] = np.log(grouped.sum(1) / grouped.sum())
+    weights[bias, CLASSES:] = np.log(grouped / grouped.sum(1, keepdims=True)).ravel()
+    return weights
+
+
+def gradient_steps(
+    weights: np.ndarray, squares: np.ndarray, start: np.ndarray, contexts: np.ndarray, counts: np.ndarray, steps: int
+) -> None:
+    """Ascend the posterior of counts[context, symbol] in place, a rate per weight."""
     rows = feature_rows(contexts)
     orders = [np.argsort(rows[:, k], kind="stable") for k in range(rows.shape[1])]
     cuts = [np.flatnonzero(np.diff(rows[o, k], prepend=-1)) for k, o in enumerate(orders)]
@@ -220,24 +234,24 @@ def gradient_steps(weights: np.ndarray, squares: np.ndarray, contexts: np.ndarra
         ) / total
         for k, (order, cut) in enumerate(zip(orders, cuts)):
             at = rows[order[cut], k]
-            g = np.add.reduceat(up[order], cut)
+            g = np.add.reduceat(up[order], cut) - PRIOR / total * (weights[at] - start[at])
             squares[at] += g * g
             weights[at] += RATE * g / np.sqrt(squares[at] + 1e-12)
 
 
 def _round(shared):
     def run(table: pa.Table) -> pa.Table:
-        start, squares = (x.copy() for x in shared.value)
-        weights = start.copy()
+        given, squares, start = shared.value
+        weights, squares = given.copy(), squares.copy()
         contexts, at = np.unique(table["context"].to_numpy(), return_inverse=True)
         counts = np.zeros((len(contexts), SYMBOLS), np.float32)
         np.add.at(counts, (at, table["symbol"].to_numpy()), table["n"].to_numpy())
-        gradient_steps(weights, squares, contexts, counts, STEPS)
+        gradient_steps(weights, squares, start, contexts, counts, STEPS)
         seen = np.zeros(ROWS)
         np.add.at(seen, feature_rows(contexts), counts.sum(1)[:, None])
         pack = lambda x: pa.array([x.astype(np.float32).tobytes()], pa.binary())
         return pa.table(
-            {"part": pa.array([table["part"][0].as_py()], pa.int32()), "seen": pack(seen), "change": pack(weights - start), "squares": pack(squares - shared.value[1])}
+            {"part": pa.array([table["part"][0].as_py()], pa.int32()), "seen": pack(seen), "change": pack(weights - given), "squares": pack(squares - shared.value[1])}
         )
 
     return run
@@ -247,12 +261,16 @@ def trained(counts: DataFrame) -> np.ndarray:
     """Weights [ROWS, CLASSES + SYMBOLS] from stored event counts."""
     spark = counts.sparkSession
     width = CLASSES + SYMBOLS
-    weights, squares = np.zeros((ROWS, width), np.float32), np.zeros((ROWS, width), np.float32)
+    totals = np.zeros(SYMBOLS)
+    for row in counts.groupBy("symbol").agg(F.sum("n").alias("n")).collect():
+        totals[row["symbol"]] = row["n"]
+    start = start_weights(totals)
+    weights, squares = start, np.zeros((ROWS, width), np.float32)
     dealt = written(
         counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(PARTS)).cast("int")), "maxent-parts"
     )
     for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((weights, squares))
+        shared = spark.sparkContext.broadcast((weights, squares, start))
         seen, change, grown = np.zeros(ROWS), np.zeros((ROWS, width), np.float32), np.zeros((ROWS, width), np.float32)
         # PARTS rows of fixed size, one at a time
         results = dealt.groupBy("part").applyInArrow(

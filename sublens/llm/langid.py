@@ -8,8 +8,8 @@ tree gives the shortest code for a text is predicted; the score is its share whe
 read as probabilities.
 
 Counting is one pass with counts merged inside each task before they are summed per (language, gram).
-A tree is bounded: of the longest grams the ``MAX_GRAMS`` most frequent over all languages are kept
-(ties by gram), and at most ``MAX_LANGS`` languages, the most frequent ones; both are far above what
+A tree is bounded: of the longest grams at most the ``MAX_GRAMS`` most frequent over all languages are kept
+(whole levels of frequency), and at most ``MAX_LANGS`` languages, the most frequent ones; both are far above what
 a few alphabets need, and the model that is broadcast has a fixed greatest size. Scoring turns each
 distinct gram of a batch into its code lengths and sums these per text; nothing is shuffled.
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sublens.llm.batches import bytes_of, mapped, slices
+from sublens.llm.scratch import written
 
 ORDER = 3
 MAX_GRAMS = 1 << 18
@@ -149,10 +150,21 @@ class Trees:
 
 
 def learned(docs: DataFrame) -> Trees:
-    counts = gram_counts(docs)
-    langs = [r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    kept = counts.filter(F.col("lang").isin(langs)).orderBy(F.desc("n"), "lang", "known", "gram").limit(MAX_GRAMS)
-    return Trees([tuple(r) for r in kept.collect()])
+    counts = written(gram_counts(docs), "langid-grams")
+    langs = counts.groupBy("lang").agg(F.sum("n").alias("n"))
+    named = [r["lang"] for r in langs.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    own = counts.filter(F.col("lang").isin(named))
+    # how many grams each level of frequency has, some hundred rows: the cut keeps whole levels, so
+    # that no task and not the driver meets more than MAX_GRAMS of them
+    level = F.floor(8 * F.log2("n")).cast("int")
+    levels = own.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("level"))
+    taken, least = 0, None
+    for row in levels.collect():
+        taken += row["grams"]
+        if taken > MAX_GRAMS:
+            break
+        least = row["level"]
+    return Trees([] if least is None else [tuple(r) for r in own.filter(level >= least).collect()])
 
 
 SLOTS = 20

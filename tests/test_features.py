@@ -293,9 +293,9 @@ def payment(i, days, **columns):
 
 def test_payments_windows_details_and_dropped_rows(spark):
     listed = [
-        payment(1, 1), payment(2, 31), payment(3, 32, StatusID=2), payment(4, 61), payment(5, 91), payment(6, 92),
+        payment(1, 2), payment(2, 31), payment(3, 32, StatusID=2), payment(4, 61), payment(5, 91), payment(6, 92),
         payment(7, 0), payment(8, 5, ErrorID=None), payment(9, 5, PaymentChannelID=2), payment(10, 2, StatusID=3),
-        payment(11, 1, PaymentChannelID=3, CreationDate=at(1, 7)), payment(12, 200),
+        payment(11, 2, PaymentChannelID=3, CreationDate=at(2, 7)), payment(12, 200),
     ]
     tables = HandMade(
         spark,
@@ -315,7 +315,7 @@ def test_payments_windows_details_and_dropped_rows(spark):
             {"PaymentTransactionID": 2, "ServiceTypeID": 9},
         ],
         nobill_snapshot_subscription=[
-            {"accountnum": 5, "phonenumber": "n", "snapshotdate": back(d)} for d in (150, 0)
+            {"accountnum": 5, "phonenumber": "n", "snapshotdate": back(d)} for d in (150, 1)
         ],
         customer_master=[
             {"IN_ACCOUNT_NUMBER": "5", "MSISDN": "n", "CRM_UID": "u", "FULL_ACTIVATION_DATE": at(150)},
@@ -504,3 +504,40 @@ def test_plan_recommendations(spark):
     (step,) = scores.step_up_plan(tables, L).collect()
     assert (step["AD_ATTRIBUTE_12"], step["AD_ATTRIBUTE_35"], step["AD_ATTRIBUTE_39"]) == ("7 More", 12.34, 7.99)
     assert (step["AD_ATTRIBUTE_38"], step["AD_ATTRIBUTE_40"], step["AD_ATTRIBUTE_41"]) == (None, 2.66, 0)
+
+
+def test_small_amounts_and_part_quantities_are_not_rounded(spark, rows):
+    tables = HandMade(
+        spark,
+        loy_customer_trx_log=[{"customer_id": 1, "points": Decimal("0.004"), "CREATE_DATE": at(3)} for _ in range(3)],
+        loy_dim_customer=[{"ID": 1, "identifier_value": "u1"}],
+        customer_master=[{"CRM_UID": "u1", "IN_ACCOUNT_NUMBER": "11"}],
+        event_in_booster=[
+            {"EVENT_IN_DATE": back(3), "EVENT_IN_ACCOUNT_NUMBER": "a", "EVENT_IN_EVENT_ID": "e", "EVENT_IN_EVENT_GROUP": "Booster",
+             "EVENT_IN_SERVICE_TYPE": "DATA", "EVENT_IN_TOTAL_QUANTITY": Decimal("0.5")},
+        ],
+        po_service_file=[{"EXCEL_SERVICE_EVENT_ID": "e", "EXCEL_SERVICE_TYPE": "DATA"}] * 3,
+    )
+    assert rows(engagement.loyalty_points(tables, L)) == [("11", 0.012)]
+    (account,) = booster.booster_counts(tables, L).collect()
+    assert (account["TOTAL_DATA_BOOSTER_QTY"], account["BOOSTER_TOTAL_DATA_COUNT_LAST_7DAYS"]) == (0.5, 1.5)
+
+
+def test_purchases_balances_and_donations_from_the_load_date_on_are_unknown(spark, rows):
+    def event(days):
+        return {"EVENT_IN_DATE": back(days), "EVENT_IN_ACCOUNT_NUMBER": "a", "EVENT_IN_EVENT_ID": "e",
+                "EVENT_IN_EVENT_GROUP": "Booster", "EVENT_IN_SERVICE_TYPE": "DATA", "EVENT_IN_TOTAL_QUANTITY": 1}
+
+    def balance(days, value):
+        return {"counter_id": 1, "account_num": 1, "countername": "AC.AnnualPlanFunds_Counter", "snapshotdate": back(days),
+                "balance": Decimal(value)}
+
+    def cashback(i, days):
+        return {"id": i, "customer_id": 1, "tier_id": i, "CREATE_DATE": at(days)}
+
+    known = {"event_in_booster": [event(400)], "nobill_snapshot_daily_balance": [balance(1, "5")], "loy_customer_cashback": [cashback(1, 1)]}
+    later = {"event_in_booster": [event(0), event(-9)], "nobill_snapshot_daily_balance": [balance(0, "7")], "loy_customer_cashback": [cashback(2, 0)]}
+    masters = {"loy_tier": [{"ID": 1, "name_en": "Silver"}, {"ID": 2, "name_en": "Gold"}]}
+    before, after = (HandMade(spark, **masters, **t) for t in (known, {k: known[k] + later[k] for k in known}))
+    for build in (booster.booster_purchases, plan.latest_positive_balances, engagement.loyalty_tier):
+        assert rows(build(after, L)) == rows(build(before, L)) != []

@@ -73,7 +73,6 @@ def test_customer_base(tables, rows):
     assert rows(base.customer_base(tables, L)) == [
         (10, "TERMINATED"),
         (11, "PORT_OUT"),
-        (13, "TERMINATED"),
         (2, "ACTIVE"),
         (3, "DEACTIVE"),
         (4, "ACTIVE"),
@@ -85,7 +84,6 @@ def test_termination_prefers_the_port_out_time(tables, rows):
     assert rows(base.termination_date(tables, L)) == [
         (10, datetime(2023, 3, 16)),
         (11, datetime(2023, 5, 1, 9)),
-        (13, datetime(2023, 6, 15)),
     ]
 
 
@@ -220,3 +218,39 @@ def test_a_stored_customer_base_gives_the_same_profiles(tables, rows):
     stored = base.customer_base(tables, L)
     for profile in (profiles.acquisition, profiles.demographics, profiles.status):
         assert rows(profile(tables, L, base=stored)) == rows(profile(tables, L))
+
+
+def test_an_open_block_covers_the_newest_snapshot(spark, rows):
+    tables = HandMade(
+        spark,
+        nobill_snapshot_subscription=[snap(5, 2), snap(5, 1)],
+        nobill_tx_account_history=[
+            block(5, "accServiceAdded", "CS.TRA_Blocking", datetime(2023, 6, 14, 12)),
+            block(5, "accServiceRemoved", "CS.TRA_Blocking", datetime(2023, 6, 15, 1)),
+        ],
+    )
+    assert rows(disconnection.disconnection_date(tables, L)) == [(5, L - timedelta(days=1))]
+    assert [r["add_date"] for r in disconnection.snapshots_with_blocks(tables, L).orderBy("snapshotdate").collect()] == [
+        None,
+        datetime(2023, 6, 14, 12),
+    ]
+
+
+def test_rows_dated_from_the_load_date_on_change_nothing(spark, rows):
+    known = {
+        "nobill_snapshot_subscription": [snap(2, 3), snap(2, 1), snap(10, 20), snap(4, 1)],
+        "nobill_tx_account_history": [block(4, "accServiceAdded", "CS.TRA_Blocking", datetime(2023, 3, 1))],
+        "nobill_tx_phonenumber_history": [port(10)],
+    }
+    later = {
+        "nobill_snapshot_subscription": [snap(2, 0, status=6), snap(13, 0), snap(10, -3)],
+        "nobill_tx_account_history": [
+            block(2, "accServiceAdded", "CS.TRA_Blocking", datetime(2023, 6, 15)),
+            block(4, "accServiceRemoved", "CS.TRA_Blocking", datetime(2023, 6, 20)),
+        ],
+        "nobill_tx_phonenumber_history": [port(10, at=datetime(2023, 6, 15))],
+    }
+    before, after = HandMade(spark, **known), HandMade(spark, **{k: known[k] + later[k] for k in known})
+    for build in (base.customer_base, base.termination_date, base.latest_block, disconnection.block_intervals,
+                  disconnection.status_changes, disconnection.disconnection_date):
+        assert rows(build(after, L)) == rows(build(before, L))

@@ -41,7 +41,8 @@ from sublens.llm.scratch import folder, same_row, text_key, written
 WIDTH, GRAM = 200, 40
 LEFT = WIDTH - GRAM
 BATCHES = 4
-LARGE = 20_000
+# Surroundings compared in one task: about 20 MB of string hashes and some times that while they are sorted.
+LARGE = 4_000
 SEEN = 50_000
 _PLACE = 28
 _INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))

@@ -249,9 +249,14 @@ def _round(shared):
         gradient_steps(weights, squares, start, contexts, counts, STEPS)
         seen = np.zeros(ROWS)
         np.add.at(seen, feature_rows(contexts), counts.sum(1)[:, None])
-        pack = lambda x: pa.array([x.astype(np.float32).tobytes()], pa.binary())
+        pack = lambda x, kind: pa.array([x.astype(kind).tobytes()], pa.binary())
         return pa.table(
-            {"part": pa.array([table["part"][0].as_py()], pa.int32()), "seen": pack(seen), "change": pack(weights - given), "squares": pack(squares - shared.value[1])}
+            {
+                "part": pa.array([table["part"][0].as_py()], pa.int32()),
+                "seen": pack(seen, np.float32),
+                # half precision: changes of all tasks may reach the driver together
+                "change": pack(weights - given, np.float16),
+            }
         )
 
     return run
@@ -271,18 +276,18 @@ def trained(counts: DataFrame) -> np.ndarray:
     )
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast((weights, squares, start))
-        seen, change, grown = np.zeros(ROWS), np.zeros((ROWS, width), np.float32), np.zeros((ROWS, width), np.float32)
+        seen, change = np.zeros(ROWS), np.zeros((ROWS, width), np.float32)
         # PARTS rows of fixed size, one at a time
         results = dealt.groupBy("part").applyInArrow(
-            _round(shared), "part int, seen binary, change binary, squares binary"
+            _round(shared), "part int, seen binary, change binary"
         )
         for row in results.toLocalIterator():
             share = np.frombuffer(row["seen"], np.float32)
             seen += share
-            change += share[:, None] * np.frombuffer(row["change"], np.float32).reshape(ROWS, width)
-            grown += share[:, None] * np.frombuffer(row["squares"], np.float32).reshape(ROWS, width)
-        scale = (1 / np.maximum(seen, 1)).astype(np.float32)[:, None]
-        weights, squares = weights + change * scale, squares + grown * scale
+            change += share[:, None] * np.frombuffer(row["change"], np.float16).reshape(ROWS, width)
+        change *= (1 / np.maximum(seen, 1)).astype(np.float32)[:, None]
+        # rates fall with the distance a weight has gone
+        weights, squares = weights + change, squares + (1e-3 * change) ** 2
         shared.unpersist()
     return weights
 

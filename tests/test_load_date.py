@@ -51,4 +51,4 @@ def test_usage_windows_share_their_edges_and_count_months_from_the_load_date():
     windows = usage_windows_of("2023-06-01")
     assert windows["30_days"][0] == windows["30_60_days"][1]
     assert windows["30_60_days"][0] == windows["60_90_days"][1]
-    assert windows["M_0"] == (date(2023, 6, 1), date(2023, 6, 30))
+    assert windows["M_0"] == (date(2023, 6, 1), date(2023, 6, 1))

@@ -34,6 +34,10 @@ P = len(STATISTICS)
 SCALE = 256
 # Per unit of variance; keeps a statistic that is constant in the core from rejecting small changes.
 FLOOR = 0.25
+# The standard deviation that repetition has at least, as a share of the lines or words, and the lines
+# and words added below: a single header line repeated in a short clean text is little evidence.
+LINE_SPREAD, LINE_PRIOR = 0.04, 8
+WORD_SPREAD, WORD_PRIOR = 0.05, 50
 CORE = 0.75
 # Square of the robust distance: the chi-square quantile of 1 - 1e-6 for four statistics.
 CUTOFF = 33.4
@@ -99,14 +103,15 @@ def base_failed() -> Column:
 
 
 def transformed(stats: DataFrame) -> DataFrame:
-    """x1..xP, whole numbers. Shares go through a logarithm that is about linear below 1 % (symbols)
-    or 10 % (repetition, of which a short clean text has some by its header lines alone)."""
+    """x1..xP, whole numbers. The symbol share goes through a logarithm that is about linear below 1 %.
+    The repetition shares are linear and in units in which FLOOR is the square of their least spread, so
+    that either alone can pass the cutoff."""
     words = F.greatest(F.col("n_words"), F.lit(1))
     values = (
         8 * F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
         F.log1p(100 * F.col("n_symbols") / words),
-        F.log1p(10 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
-        F.log1p(10 * F.col("n_repeat_words") / words),
+        FLOOR**0.5 / LINE_SPREAD * F.col("n_dup_lines") / (F.col("n_lines") + LINE_PRIOR),
+        FLOOR**0.5 / WORD_SPREAD * F.col("n_repeat_words") / (F.col("n_words") + WORD_PRIOR),
     )
     return stats.withColumns({f"x{i + 1}": F.round(v * SCALE).cast("bigint") for i, v in enumerate(values)})
 

@@ -104,6 +104,26 @@ def test_quality_rejects_junk_and_keeps_clean_documents(judged):
     assert all(kept[i] for i in range(500)) and all(kept[700 + i] for i in range(8))
 
 
+def test_quality_rejects_repetition_alone_beside_short_clean_texts(spark):
+    def repeated(seed, lines, times, words=14):
+        own = prose(seed, lines - times, words).split("\n")
+        return "\n".join(own + own[:1] * times)
+
+    few_lines = "\n".join(["one short header line of nine words in all"] * 2 + [prose(3, 4, 9)])
+    rows = [(i, prose(i, 8)) for i in range(300)] + [(400 + i, prose(i, 4)) for i in range(100)]
+    rows += [(1000, repeated(1, 20, 6)), (1001, repeated(2, 10, 3)), (1002, few_lines + "\n" + prose(4, 1, 9))]
+    # words alone: runs of four words that occur twice, each in a line of its own
+    runs = prose(7, 1, 200).split(" ")
+    pairs = [" ".join(runs[4 * i : 4 * i + 4]) for i in range(25)]
+    rows += [(1003, "\n".join(f"{p} w{i} x{i} y{i} z{i}" for i, p in enumerate(pairs + pairs[:20])))]
+    counts = {d: brute_counts(t) for d, t in rows if d >= 1000}
+    assert not any(c[5] for c in counts.values())
+    assert counts[1000][3] == 6 and counts[1001][3] == 3 and counts[1002][3] == 1 and counts[1003][3] == 0
+    kept = {r["doc_id"]: r["kept"] for r in quality.digest(frame(spark, rows)).collect()}
+    assert not kept[1000] and not kept[1001] and not kept[1003]
+    assert kept[1002] and all(kept[d] for d in kept if d < 1000)
+
+
 def test_quality_stage_agrees_with_the_digest(spark, judged):
     docs = frame(spark, quality_rows()).withColumns({"n_words": F.lit("clash"), "kept": F.lit(False)})
     out = quality.stage(docs)

@@ -14,8 +14,9 @@ statistics. Estimates stay in stored tables, one row per group; nothing goes thr
 
 Defined cases: null text has no words and fails the floor. Null lang or source is a value like any
 other. A group with fewer than ``min_rows`` documents is pooled with the other small sources of its
-language, then with all small rest groups; if even these are fewer, the method has no verdict and keeps
-them. Statistics that do not vary get the variance ``floor``. Repeated rows are judged alike, each on
+language, then with all small rest groups; if even these are fewer, the estimate over all documents of
+the language judges them, then that over all documents. Only a table with fewer than ``min_rows`` in all
+is kept without a verdict. Statistics that do not vary get the variance ``floor``. Repeated rows are judged alike, each on
 its own; an empty table gives an empty result; other columns are not read.
 """
 
@@ -201,24 +202,46 @@ def _concentrated(rows: DataFrame, estimate: DataFrame, core: float, widen: floa
     )
 
 
+def _label(*names: str) -> Column:
+    return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+
+
+ALL = "all"
+
+
+def _language() -> Column:
+    return F.concat(F.lit("all "), _label("lang"))
+
+
 def pools(rows: DataFrame, min_rows: int) -> DataFrame:
-    """lang, source, pool: which estimate serves a language and source; none where too few rows."""
+    """lang, source, pool: which estimate serves a language and source; none if the table is too small."""
     sizes = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.filter(F.col("n") < min_rows)
-    rest = small.groupBy("lang").agg(F.sum("n").alias("n_rest"))
-    n_last = rest.filter(F.col("n_rest") < min_rows).agg(F.sum("n_rest")).first()[0] or 0
-    named = sizes.join(rest.withColumnRenamed("lang", "rest_lang"), F.col("lang").eqNullSafe(F.col("rest_lang")), "left")
-    label = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    langs = sizes.groupBy(F.col("lang").alias("of_lang")).agg(
+        F.sum("n").alias("n_lang"), F.sum(F.when(F.col("n") < min_rows, F.col("n"))).alias("n_rest")
+    )
+    n_last, n_all = langs.agg(
+        F.sum(F.when(F.col("n_rest") < min_rows, F.col("n_rest"))), F.sum("n_lang")
+    ).first()
+    named = sizes.join(langs, F.col("lang").eqNullSafe(F.col("of_lang")))
     return named.select(
         "lang",
         "source",
-        F.when(F.col("n") >= min_rows, label("lang", "source"))
-        .when(F.col("n_rest") >= min_rows, label("lang"))
-        .when(F.lit(n_last >= min_rows), F.lit("rest"))
+        F.when(F.col("n") >= min_rows, _label("lang", "source"))
+        .when(F.col("n_rest") >= min_rows, _label("lang"))
+        .when(F.lit((n_last or 0) >= min_rows), F.lit("rest"))
+        .when(F.col("n_lang") >= min_rows, _language())
+        .when(F.lit((n_all or 0) >= min_rows), F.lit(ALL))
         .alias("pool"),
     )
 
 
+def feeding(assigned: DataFrame) -> DataFrame:
+    """lang, source, pool: the pools a language and source is estimated in. Besides its own these are, where
+    a small rest is served by them, all documents of its language and all documents: three at most."""
+    every = F.explode(F.array_distinct(F.array("pool", _language(), F.lit(ALL)))).alias("pool")
+    return assigned.select("lang", "source", every).join(assigned.select("pool").distinct(), "pool", "left_semi")
+
+
 def on_group(left: DataFrame, right: DataFrame) -> Column:
     return left["lang"].eqNullSafe(right["lang"]) & left["source"].eqNullSafe(right["source"])
 
@@ -227,8 +250,9 @@ def outlier_model(stats: DataFrame, core: float = CORE, steps: int = STEPS, min_
     """lang, source and the final estimate, from stored statistics of documents above the floor."""
     rows = transformed(stats).filter(~base_failed())
     assigned = written(pools(rows, min_rows).filter("pool is not null"), "quality-pools")
+    fed = feeding(assigned)
     fit = written(
-        rows.join(assigned, on_group(rows, assigned)).select(assigned["pool"], *X), "quality-vectors"
+        rows.join(fed, on_group(rows, fed)).select(fed["pool"], *X), "quality-vectors"
     )
     estimate = written(_start(fit), "quality-start")
     for step in range(steps):

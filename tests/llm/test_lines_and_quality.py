@@ -124,6 +124,21 @@ def test_quality_rejects_repetition_alone_beside_short_clean_texts(spark):
     assert kept[1002] and all(kept[d] for d in kept if d < 1000)
 
 
+def test_small_rests_are_judged_by_their_language_or_by_all_documents(spark):
+    junk = [" ".join(w + "###" for w in prose(900 + i).split()) for i in range(3)]
+    rows = [(i, prose(i, 8), "en", "hot") for i in range(300)]
+    rows += [(400 + i, prose(400 + i, 8), *group) for i, group in enumerate([("en", "s1"), ("fr", "s2"), (None, None)] * 5)]
+    rows += [(500 + i, text, *group) for i, (text, group) in enumerate(zip(junk, [("en", "s1"), ("fr", "s2"), (None, None)]))]
+    docs = frame(spark, rows)
+    found = quality.pools(quality.transformed(quality.counted(docs)), quality.MIN_ROWS).collect()
+    assert {(r["lang"], r["source"]): r["pool"] for r in found if r["lang"] != "en" or r["source"] != "hot"} == {
+        ("en", "s1"): 'all {"lang":"en"}', ("fr", "s2"): "all", (None, None): "all",
+    }
+    judged = {r["doc_id"]: r for r in quality.digest(docs).collect()}
+    assert len(judged) == len(rows) and all(r["distance2"] is not None for r in judged.values())
+    assert {d for d, r in judged.items() if not r["kept"]} == {500, 501, 502}
+
+
 def test_quality_stage_agrees_with_the_digest(spark, judged):
     docs = frame(spark, quality_rows()).withColumns({"n_words": F.lit("clash"), "kept": F.lit(False)})
     out = quality.stage(docs)

@@ -8,10 +8,13 @@ tree gives the shortest code for a text is predicted; the score is its share whe
 read as probabilities.
 
 Counting is one pass with counts merged inside each task before they are summed per (language, gram).
-A tree is bounded: of the longest grams at most the ``MAX_GRAMS`` most frequent over all languages are kept
-(whole levels of frequency), and at most ``MAX_LANGS`` languages, the most frequent ones; both are far above what
-a few alphabets need, and the model that is broadcast has a fixed greatest size. Scoring turns each
-distinct gram of a batch into its code lengths and sums these per text; nothing is shuffled.
+Lower orders, and what each context was followed by, are summed from all counts before anything is left
+out. A tree is bounded by its own language alone: of each order it holds at most its ``MAX_GRAMS`` most
+frequent grams (whole levels of frequency), however large other languages are. Every language is scored:
+``BLOCK_LANGS`` trees are broadcast at a time, and the best of each block is carried to the next, so the
+model that a task holds has a fixed greatest size. Scoring turns each distinct gram of a batch into its
+code lengths and sums these per text; nothing is shuffled. With more than one block the texts are stored
+again between blocks.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0, as is everything if there
 was nothing to learn. Ties go to the first language name. Null languages are not learned. Repeated
@@ -25,16 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from sublens.llm.batches import bytes_of, mapped, slices
-from sublens.llm.scratch import written
+from sublens.llm.scratch import dropped, written
 
 ORDER = 3
 MAX_GRAMS = 1 << 18
-MAX_LANGS = 32
+BLOCK_LANGS = 4
 HELD = 400_000
 UNDETERMINED = "und"
 
@@ -124,6 +129,27 @@ class Trees:
         kinds = np.stack([np.bincount(inside, count[:, j] > 0, len(contexts)) for j in range(width)], 1) if len(keys) else np.zeros((0, width))
         return keys, count, contexts, total, kinds
 
+    @classmethod
+    def cut(cls, table: pa.Table) -> "Trees":
+        """From rows (lang, order, gram, n, total, kinds): total and kinds are those of the gram's context
+        over all counts, also those that are not among the rows."""
+        trees = cls([])
+        trees.langs = sorted(set(table["lang"].unique().to_pylist()))
+        column = pa.array(trees.langs, pa.string())
+        lang = pa.compute.index_in(table["lang"], column).to_numpy().astype(np.int64)
+        order, n, total, kinds = (table[c].to_numpy() for c in ("order", "n", "total", "kinds"))
+        gram = table["gram"].to_numpy().astype(np.uint64)
+        trees.levels = []
+        for k in range(ORDER + 1):
+            own = order == k
+            keys, count, contexts, *_ = trees._level(lang[own], gram[own], n[own])
+            at = np.searchsorted(contexts, gram[own] >> np.uint64(8))
+            whole = np.zeros((2, len(contexts), len(trees.langs)))
+            whole[0, at, lang[own]] = total[own]
+            whole[1, at, lang[own]] = kinds[own]
+            trees.levels.append((keys, count, contexts, *whole))
+        return trees
+
     def code_lengths(self, gram: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Bits of each gram's last byte in its context, a column per language."""
         width = len(self.langs)
@@ -149,31 +175,43 @@ class Trees:
         return bits + 8.0 * open_
 
 
-def learned(docs: DataFrame) -> Trees:
-    counts = written(gram_counts(docs), "langid-grams")
-    langs = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    named = [r["lang"] for r in langs.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
-    own = counts.filter(F.col("lang").isin(named))
-    # how many grams each level of frequency has, some hundred rows: the cut keeps whole levels, so
-    # that no task and not the driver meets more than MAX_GRAMS of them
-    level = F.floor(8 * F.log2("n")).cast("int")
-    levels = own.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("level"))
-    taken, least = 0, None
-    for row in levels.collect():
-        taken += row["grams"]
-        if taken > MAX_GRAMS:
-            break
-        least = row["level"]
-    return Trees([] if least is None else [tuple(r) for r in own.filter(level >= least).collect()])
+def bounded(counts: DataFrame) -> DataFrame:
+    """lang, order, gram, n, total, kinds: each language's tree within its own bound."""
+    order = F.explode(F.sequence(F.lit(0), F.col("known"))).alias("order")
+    mask = F.expr("shiftleft(1L, 8 * (order + 1)) - 1")
+    sums = (
+        counts.select("lang", order, "gram", "n")
+        .groupBy("lang", "order", F.col("gram").bitwiseAND(mask).alias("gram"))
+        .agg(F.sum("n").alias("n"))
+    )
+    # a context is followed by 256 bytes at most
+    context = Window.partitionBy("lang", "order", F.shiftright("gram", 8))
+    whole = sums.withColumns({"total": F.sum("n").over(context), "kinds": F.count(F.lit(1)).over(context)})
+    stored = written(whole.withColumn("level", F.floor(8 * F.log2("n")).cast("int")), "langid-levels")
+    # how many grams each level of frequency has, some hundred rows a language: the cut keeps whole levels
+    down = Window.partitionBy("lang", "order").orderBy(F.desc("level"))
+    levels = stored.groupBy("lang", "order", "level").agg(F.count(F.lit(1)).alias("grams"))
+    taken = levels.withColumn("taken", F.sum("grams").over(down)).filter(F.col("taken") <= MAX_GRAMS)
+    kept = stored.join(taken.select("lang", "order", "level"), ["lang", "order", "level"], "left_semi")
+    return written(kept.drop("level"), "langid-trees")
+
+
+def learned(docs: DataFrame) -> Iterator[Trees]:
+    """The trees of all languages, some languages at a time, by name."""
+    trees = bounded(written(gram_counts(docs), "langid-grams"))
+    names = sorted(r[0] for r in trees.select("lang").distinct().collect())
+    for at in range(0, len(names), BLOCK_LANGS):
+        block = trees.filter(F.col("lang").isin(names[at : at + BLOCK_LANGS]))
+        yield Trees.cut(block.select("lang", "order", "gram", "n", "total", "kinds").toArrow())
 
 
 SLOTS = 20
 BLOCK = 1 << 18
 
 
-def identified(docs: DataFrame, trees: Trees, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+def scored(docs: DataFrame, shared, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of docs with the best language of a block of trees (null without a letter), its
+    bits, and the sum over the block of the probabilities relative to it."""
 
     def start():
         trees = shared.value
@@ -205,8 +243,6 @@ def identified(docs: DataFrame, trees: Trees, keep: list[str]) -> DataFrame:
             lettered = latin[offsets[1:]] > latin[offsets[:-1]]
             for i in np.flatnonzero(~lettered & (np.diff(offsets) > 0)):
                 lettered[i] = any(c.isalpha() for c in texts[int(i)].as_py() or "")
-            if not names:
-                return [[UNDETERMINED] * n, [0.0] * n]
             gram, known = grams(data, offsets)
             bits = np.zeros((n, len(names)))
             for a in range(0, len(data), BLOCK):
@@ -216,15 +252,62 @@ def identified(docs: DataFrame, trees: Trees, keep: list[str]) -> DataFrame:
                 inside = np.clip(offsets, a, b) - a
                 bits += sums[inside[1:]] - sums[inside[:-1]]
             best = bits.argmin(1)
-            share = 1 / np.exp2(np.clip(bits.min(1)[:, None] - bits, -1000, 0)).sum(1)
+            least = bits.min(1)
             return [
-                [names[b] if ok else UNDETERMINED for b, ok in zip(best, lettered)],
-                np.where(lettered, share, 0.0),
+                [names[b] if ok else None for b, ok in zip(best, lettered)],
+                least,
+                np.exp2(np.clip(least[:, None] - bits, -1000, 0)).sum(1),
             ]
 
         return run
 
-    return mapped(docs, {"lang_pred": T.StringType(), "score": T.DoubleType()}, start, keep)
+    return mapped(docs, {"block_best": T.StringType(), "block_bits": T.DoubleType(), "block_sum": T.DoubleType()}, start, keep)
+
+
+def _joined(before: DataFrame, keep: list[str]) -> DataFrame:
+    """The best of the blocks so far and of a further one, which come by name: a tie stays with the first."""
+    ahead = F.col("block_bits") < F.col("bits")
+    scaled = lambda x: F.pow(F.lit(2.0), F.greatest(x, F.lit(-1000.0)))
+    new, old = F.col("block_bits"), F.col("bits")
+    return before.select(
+        *keep,
+        F.when(ahead, F.col("block_best")).otherwise(F.col("best")).alias("best"),
+        F.least(new, old).alias("bits"),
+        F.when(ahead, F.col("block_sum") + F.col("total") * scaled(new - old))
+        .otherwise(F.col("total") + F.col("block_sum") * scaled(old - new))
+        .alias("total"),
+    )
+
+
+def identified(docs: DataFrame, blocks: Iterator[Trees], keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of docs with lang_pred and score. ``keep`` may not hold the names of the carry."""
+    carry = ["best", "bits", "total"]
+    out, last, stored = docs.select(*keep, "text"), next(blocks, None), None
+    if last is None:
+        return out.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    first = True
+    while last is not None:
+        following = next(blocks, None)
+        shared = docs.sparkSession.sparkContext.broadcast(last)
+        carried = [*keep, *([] if following is None else ["text"])]
+        found = scored(out, shared, carried if first else [*carried, *carry])
+        if first:
+            out = found.toDF(*carried, *carry)
+        else:
+            out = _joined(found, carried)
+        first, last = False, following
+        if following is not None:
+            # a block's trees are given up before the next are broadcast
+            out, before = written(out, "langid-block"), stored
+            shared.destroy()
+            if before is not None:
+                dropped(before)
+            stored = out
+    return out.select(
+        *keep,
+        F.coalesce("best", F.lit(UNDETERMINED)).alias("lang_pred"),
+        F.when(F.col("best").isNull(), F.lit(0.0)).otherwise(1 / F.col("total")).alias("score"),
+    )
 
 
 def held_out() -> Column:
@@ -232,7 +315,7 @@ def held_out() -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    trees = learned(docs.filter(~F.coalesce(held_out(), F.lit(True))))
-    return identified(docs.select("doc_id", "text"), trees, ["doc_id"]).select(
+    blocks = learned(docs.filter(~F.coalesce(held_out(), F.lit(True))))
+    return identified(docs, blocks, ["doc_id"]).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )

@@ -75,6 +75,27 @@ def test_language_is_found_in_held_out_documents(spark):
     assert all(r["held_out"] == (remainder(d, 4) == 2) and 0 <= r["score"] <= 1 for d, r in found.items())
 
 
+def test_every_language_is_known_beside_a_hot_one(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_GRAMS", 300)
+    monkeypatch.setattr(langid, "BLOCK_LANGS", 12)
+    pick = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:02}": pick.sample(letters, 5) for k in range(34)}
+    said = lambda of, n: " ".join("".join(pick.choices(of, k=4)) for _ in range(n))
+    rows = [(1000 * k + i, said(of, 40), lang, "s") for k, (lang, of) in enumerate(own.items()) for i in range(8)]
+    rows += [(100_000 + i, said(letters, 60), "hot", "s") for i in range(200)]
+    found = {r["doc_id"]: r for r in langid.digest(frame(spark, rows)).collect()}
+    assert len(found) == len(rows)
+    assert all(found[d]["lang_pred"] == lang for d, _, lang, _ in rows)
+    alone = [r for r in rows if r[2] == "l03"]
+    trees = lambda some: {
+        tuple(r) for r in langid.bounded(langid.gram_counts(frame(spark, some))).filter("lang = 'l03'").collect()
+    }
+    assert trees(alone) == trees(rows)
+    # lower orders hold all bytes, whatever the highest order has room for
+    assert sum(r[3] for r in trees(rows) if r[1] == 0) == sum(len(t) for _, t, *_ in alone)
+
+
 def test_code_lengths_match_a_plain_ppm():
     texts = {"a": ["abracadabra", "banana band"], "b": ["xyzzy", "abxy"]}
     rows = Counter()

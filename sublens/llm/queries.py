@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sublens.llm import bpe, decontaminate, jaccard, langid, line_dedup, maxent, pii, quality, suffix, toxicity
+from sublens.llm import (
+    audit,
+    bpe,
+    codes,
+    decontaminate,
+    jaccard,
+    langid,
+    line_dedup,
+    maxent,
+    mixing,
+    pii,
+    quality,
+    suffix,
+    toxicity,
+)
 
 
 def _over(digest: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,6 +39,9 @@ QUERIES = {
     "op8_pii": _over(pii.digest, "documents"),
     "op9_jaccard_join": _over(jaccard.digest, "documents"),
     "op10_toxicity": _over(toxicity.digest, "documents", "labels"),
+    "op11_vector_codes": _over(codes.digest, "embeddings"),
+    "op12_filter_audit": _over(audit.digest, "documents", "labels"),
+    "op13_source_mixing": _over(mixing.digest, "documents"),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,4 +49,7 @@ ORACLES = {
     "op6_line_dedup": line_dedup.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_jaccard_join": jaccard.ORACLE_SQL,
+    "op11_vector_codes": codes.ORACLE_SQL,
+    "op12_filter_audit": audit.ORACLE_SQL,
+    "op13_source_mixing": mixing.ORACLE_SQL,
 }

@@ -291,14 +291,16 @@ from {lineitem}""",
     "po_po_service": f"""
 select {_BRAND} - 1 as Id, min(p_name) as Name, {_BRAND} % 4 as ServiceChargingTypeId,
   {_BRAND} % 6 as ServiceTypeId, {_BRAND} % 7 as ServiceCategoryId, min(p_retailprice) as ServiceCost,
-  1 as StatusId, cast(date '1995-01-01' as timestamp) as CreationDate
+  1 as StatusId, cast(date '1995-01-01' + cast({_BRAND} * 13 % 900 as int) as timestamp) as CreationDate
 from {{part}} group by {_BRAND}""",
     "po_po_servicecategory": "select r_regionkey as Id, 'Category ' || r_name as Name from {region}",
     "po_po_servicetype": "select r_regionkey as Id, 'Type ' || r_name as Name from {region}",
     "po_po_servicechargingtype": "select r_regionkey as Id, 'Charge ' || r_name as Name from {region}",
     "po_po_bundle": f"""
 select distinct {_BRAND} - 1 as ServiceId,
-  100 + {_BRAND} + case when p_type = 'LARGE' then 1 else 0 end as EventId
+  100 + {_BRAND} + case when p_type = 'LARGE' then 1 else 0 end as EventId,
+  case when {_BRAND} % 6 = 5 then null else 900 + {_BRAND} % 7 end as CounterId,
+  case when {_BRAND} % 5 = 4 then null else 'Your ' || p_brand end as CustomerServiceName
 from {{part}}""",
     "nobill_dim_event": f"""
 select p_partkey as dev_event_id, 100 + {_BRAND} as dev_eventid_base,

@@ -18,9 +18,7 @@ def _orders(build):
 
 
 def _service_master(tables):
-    return services.service_master(tables).drop("ServiceCreationDate").withColumn(
-        "ServiceCost", F.col("ServiceCost").cast("double")
-    )
+    return services.service_master(tables).withColumn("ServiceCost", F.col("ServiceCost").cast("double"))
 
 
 def _slots(tables):
@@ -101,7 +99,7 @@ _MASTER = f"""{_EVENT_ROWS},
 master as (
   select cast(s.Id as bigint) as ServiceId, s.Name as ServiceName, s.ServiceChargingTypeId, s.ServiceTypeId,
     s.ServiceCategoryId, cast(s.ServiceCost as double) as ServiceCost, s.StatusId as ServiceStatusId,
-    b.EventId, e.dev_event_desc, e.dev_category_1, e.dev_category_2, e.dev_category_3, e.dev_category_4,
+    b.CustomerServiceName, b.CounterId, s.CreationDate as ServiceCreationDate, b.EventId, e.dev_event_desc, e.dev_category_1, e.dev_category_2, e.dev_category_3, e.dev_category_4,
     c.Name as ServiceCategoryName, t.Name as ServiceTypeName, g.Name as ServiceChargingTypeName,
     case when e.dev_category_1 = 'VAS' then 'VAS' when lower(e.dev_category_3) like '%booster%' then 'Booster'
       when lower(e.dev_category_3) like '%roaming%' then 'Roaming' else 'Others' end as ServiceGroup
@@ -288,8 +286,14 @@ prices as (
   qualify row_number() over (partition by ProductCode, PackagePriceServices
     order by LastModifiedDate desc, TotalCost desc, DiscountValue desc) = 1)"""
 
-_SERVICES = f"""{_EVENT_ROWS},
+_ALL_SERVICES = f"""{_EVENT_ROWS},
 plan_services as (
+  select cast(b.ServiceId as varchar) as PO_EXCEL_SERVICE_ID, b.EventId as EVENT_IN_EVENT_ID,
+    upper(e.dev_category_6) as EVENT_NAME, upper(e.dev_category_3) as EVENT_CATEGORY
+  from po_po_bundle as b left join event_rows as e on e.dev_eventid_base = b.EventId)"""
+
+_SERVICES = f"""{_EVENT_ROWS},
+first_services as (
   select cast(b.ServiceId as varchar) as PO_EXCEL_SERVICE_ID, b.EventId as EVENT_IN_EVENT_ID,
     upper(e.dev_category_6) as EVENT_NAME, upper(e.dev_category_3) as EVENT_CATEGORY
   from (select ServiceId, min(EventId) as EventId from po_po_bundle group by ServiceId) as b
@@ -356,9 +360,9 @@ slots as (
     {_slot('DATA', 'v{n}.PO_EXCEL_SERVICE_ID', '0')} as data_id,
     {_slot('INTL', 'v{n}.PO_EXCEL_SERVICE_ID', '17')} as intl_id
   from day_actions as a
-  left join plan_services as v1 on v1.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 1)
-  left join plan_services as v2 on v2.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 2)
-  left join plan_services as v3 on v3.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 3)),
+  left join first_services as v1 on v1.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 1)
+  left join first_services as v2 on v2.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 2)
+  left join first_services as v3 on v3.PO_EXCEL_SERVICE_ID = split_part(a.ServiceIds, ',', 3)),
 combos as (
   select *, NATL_SERVICE || '-' || INTL_SERVICE || '-' || DATA_SERVICE as PLAN_DESCRIPTION,
     case when ProductCode in (190, 194) then data_id else natl_id || ',' || data_id || ',' || intl_id end as COMBO_ID
@@ -475,7 +479,7 @@ from nobill_dim_event group by dev_eventid_base""",
 select *, TotalCost - TotalCost * cast(0.3 as double) as TotalCost30P,
   TotalCost - TotalCost * cast(0.5 as double) as TotalCost50P from prices""",
     ),
-    "plan_services": ("po_po_bundle nobill_dim_event", f"{_SERVICES} select * from plan_services"),
+    "plan_services": ("po_po_bundle nobill_dim_event", f"{_ALL_SERVICES} select * from plan_services"),
     "product_group": ("dim_product", f"{_PRODUCTS} select * from products"),
     "preferred_customers": ("po_sre_customer", f"{_PREFERRED} select * from preferred"),
     "payment_split": ("po_sre_paymenthistory", f"{_SPLIT} select * from paid"),

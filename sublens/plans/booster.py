@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from sublens.functions.decode import purchase_profile
 from sublens.functions.helpers import as_double, flag, latest, total, window_total
 from sublens.load_date import LoadDate, within
+from sublens.operators.rolling import DateList, totals_over_dates
 
 # Fixed values.
 EVENT_GROUPS = ["Booster", "Roaming"]
@@ -69,12 +71,9 @@ def _times(amount: Column, rows: str) -> Column:
     return amount.cast("decimal(28,10)") * F.coalesce(rows, F.lit(0)).cast("decimal(9,0)")
 
 
-def booster_counts(tables, load_date) -> DataFrame:
-    """In-life totals, last dates and window counts per account in one pass over the fact.
-
-    In-life figures go by the event's own service type, window figures by the service file. The
-    window counts are NULL for an account without any booster or roaming event in the last 92 days.
-    """
+def booster_events(tables, load_date) -> DataFrame:
+    """Booster and roaming events before L per account, day and kind, with their quantity by both ways of
+    counting: ``quantity`` goes by the event's own service type, ``filed_<kind>`` by the service file."""
     day = LoadDate.of(load_date)
     booster = F.col("EVENT_IN_EVENT_GROUP") == "Booster"
     quantity = F.when(booster, F.col("quantity")).otherwise(0)
@@ -91,7 +90,7 @@ def booster_counts(tables, load_date) -> DataFrame:
         )
         .agg(F.sum("EVENT_IN_TOTAL_QUANTITY").alias("quantity"))
     )
-    events = (
+    return (
         summed.join(kinds_per_event(tables), "EVENT_IN_EVENT_ID", "left")
         .select(
             F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER"),
@@ -101,6 +100,16 @@ def booster_counts(tables, load_date) -> DataFrame:
             *[_times(quantity, f"rows_{label}").alias(f"filed_{label}") for label in KINDS],
         )
     )
+
+
+def booster_counts(tables, load_date) -> DataFrame:
+    """In-life totals, last dates and window counts per account in one pass over the fact.
+
+    In-life figures go by the event's own service type, window figures by the service file. The
+    window counts are NULL for an account without any booster or roaming event in the last 92 days.
+    """
+    day = LoadDate.of(load_date)
+    events = booster_events(tables, day)
     on = F.col("event_date")
     seen_lately = F.max(flag(within(on, day.back(SCAN_DAYS), day.day))) == 1
     aggregates = []
@@ -124,6 +133,10 @@ def booster_counts(tables, load_date) -> DataFrame:
 def booster_purchases(tables, load_date, blank_placeholders: bool = False) -> DataFrame:
     """The report; its placeholder columns are typed, or all empty text for consumers that want that."""
     counts = booster_counts(tables, load_date)
+    return counts.select(*_report(counts.columns, blank_placeholders))
+
+
+def _report(columns: Sequence[str], blank_placeholders: bool = False) -> list[Column]:
     profiles = {
         f"BOOSTER_PURCHASE_PROFILE_{label}": purchase_profile(
             F.col(f"TOTAL_{label}_BOOSTER_QTY"),
@@ -133,13 +146,49 @@ def booster_purchases(tables, load_date, blank_placeholders: bool = False) -> Da
         )
         for label in KINDS
     }
-    available = {**{c: F.col(c) for c in counts.columns}, **profiles}
+    available = {**{c: F.col(c) for c in columns}, **profiles}
 
     def placeholder(name: str):
         if blank_placeholders or name in BLANK_PLACEHOLDERS:
             return F.lit("")
         return F.lit(0) if name in ZERO_PLACEHOLDERS else F.lit(NO_DATE)
 
-    return counts.select(
-        *[available.get(name, placeholder(name)).alias(name) for name in BOOSTER_COLUMNS]
+    return [available.get(name, placeholder(name)).alias(name) for name in BOOSTER_COLUMNS]
+
+
+def _dated_windows(day: date) -> dict[str, tuple[date | None, date]]:
+    load = LoadDate(day)
+    return {
+        **purchase_windows(load),
+        "life": (None, day),
+        "before": (None, load.back(30)),
+        "lately": (load.back(SCAN_DAYS), day),
+    }
+
+
+def booster_purchases_over_dates(tables, load_dates: Sequence) -> DataFrame:
+    """``booster_purchases`` of several load dates L, given as ``load_date``, from one scan of the events."""
+    dates = DateList([LoadDate.of(d).day for d in load_dates], _dated_windows)
+    own = [
+        total(F.col("kind") == name, F.col("quantity")).alias(f"own_{label}") for label, name in KINDS.items()
+    ]
+    filed = [F.sum(f"filed_{label}").alias(f"filed_{label}") for label in KINDS]
+    days = (
+        booster_events(tables, dates.dates[-1])
+        .groupBy("IN_ACCOUNT_NUMBER", "event_date")
+        .agg(F.count(F.lit(1)).alias("events"), *own, *filed)
     )
+    kinds, windows = list(KINDS), list(purchase_windows(dates.dates[-1]))
+    measures = {w: [f"filed_{label}" for label in kinds] for w in windows}
+    measures |= {w: [f"own_{label}" for label in kinds] for w in ("life", "before")} | {"lately": ["events"]}
+    totals = totals_over_dates(days, ["IN_ACCOUNT_NUMBER"], "event_date", measures, dates, present="life")
+    counts = {}
+    for label in kinds:
+        counts[f"TOTAL_{label}_BOOSTER_QTY"] = as_double(F.col(f"own_{label}_life"))
+        counts[f"TOTAL_{label}_BOOSTER_BEFORE30D_QTY"] = as_double(F.col(f"own_{label}_before"))
+        for window in windows:
+            counts[f"BOOSTER_TOTAL_{label}_COUNT_{window}"] = F.when(
+                F.col("events_lately") > 0, as_double(F.col(f"filed_{label}_{window}"))
+            )
+    named = totals.select("IN_ACCOUNT_NUMBER", "load_date", *[c.alias(name) for name, c in counts.items()])
+    return named.select("load_date", *_report(named.columns))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sublens.functions import decode
 from sublens.functions.helpers import as_double, number_key, total, window_total
 from sublens.load_date import LoadDate, within
+from sublens.operators.rolling import DateList, following, totals_over_dates
 
 # Fixed values.
 VOUCHER_CHANNEL = "Voucher"
@@ -51,6 +53,11 @@ def number_intervals(tables, load_date) -> DataFrame:
 
 
 def classified_payments(tables, load_date, days: int = SCAN_DAYS) -> DataFrame:
+    """``payments_by_channel_id`` without the id."""
+    return payments_by_channel_id(tables, load_date, days).drop("channel_id")
+
+
+def payments_by_channel_id(tables, load_date, days: int = SCAN_DAYS) -> DataFrame:
     """Payments of the window with status and channel names, and how often each one counts.
 
     Every lookup is an inner join, so a payment without an error id, a method or a detail is
@@ -89,23 +96,49 @@ def classified_payments(tables, load_date, days: int = SCAN_DAYS) -> DataFrame:
             F.to_date("CreationDate").alias("paid_on"),
             decode.payment_status(F.col("Status")).alias("status"),
             decode.payment_channel(F.col("ChannelName")).alias("channel"),
+            F.col("PaymentChannelID").alias("channel_id"),
             (F.col("Amount") * F.col("times").cast("decimal(9,0)")).alias("amount"),
             "times",
         )
     )
 
 
-def daily_payments(tables, load_date) -> DataFrame:
-    """Payments per customer and day. A customer has at most 91 of these rows, however busy it is."""
+def daily_payments(tables, load_date, days: int = SCAN_DAYS) -> DataFrame:
+    """Payments per customer and day. A customer has at most 91 of these rows, however busy it is.
+
+    The newest payment is told by a number made of its time and id, and keeps its channel as an id: both
+    have a fixed width, so the aggregate stays a hash aggregate. The name is looked up at the end.
+    """
     success, failed = F.col("status") == "Success", F.col("status") == "Failed"
-    newest = F.max(F.struct("CreationDate", "ID", "channel"))
-    return classified_payments(tables, load_date).groupBy("Uid", "paid_on").agg(
+    order = moment_and_id("CreationDate", "ID")
+    return payments_by_channel_id(tables, load_date, days).groupBy("Uid", "paid_on").agg(
         total(success, F.col("amount")).alias("amount"),
         total(failed, F.col("times")).alias("failed"),
-        newest.alias("newest"),
+        F.max_by("channel_id", order).alias("channel_id"),
+        F.max(order).alias("newest"),
+    )
+
+
+def moment_and_id(moment: str, number: str) -> Column:
+    """One number that orders by a timestamp and then by a non-negative id."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz '1970-01-01', {moment})")
+    room = F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    return (micros.cast("decimal(18,0)") * room + F.col(number).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def channel_names(tables) -> DataFrame:
+    return tables["payment_paymentchannel"].select(
+        F.col("ID").alias("channel_id"), decode.payment_channel(F.col("ChannelName")).alias("PAYMENT_METHOD")
     )
 
 
+def _report_columns(windows: Sequence[str]) -> list[str]:
+    return [
+        *[f"PAYMENT_TOTAL_AMOUNT_{suffix}" for suffix in windows],
+        *[f"PAYMENT_COUNT_FAILED_{suffix}" for suffix in windows],
+    ]
+
+
 def payments(tables, load_date) -> DataFrame:
     """Amounts paid, failed attempts and last method per account.
 
@@ -128,17 +161,74 @@ def payments(tables, load_date) -> DataFrame:
     ]
     return (
         dated.groupBy(F.col("accountnum").alias("IN_ACCOUNT_NUMBER"))
-        .agg(*amounts, *failures, F.max("newest").alias("newest"))
+        .agg(*amounts, *failures, F.max_by("channel_id", "newest").alias("channel_id"))
+        .join(channel_names(tables), "channel_id", "left")
         .select(
-            F.lit(day.previous).alias("load_date"),
-            "IN_ACCOUNT_NUMBER",
-            *[f"PAYMENT_TOTAL_AMOUNT_{suffix}" for suffix in windows],
-            *[f"PAYMENT_COUNT_FAILED_{suffix}" for suffix in windows],
-            F.col("newest.channel").alias("PAYMENT_METHOD"),
+            F.lit(day.previous).alias("load_date"), "IN_ACCOUNT_NUMBER", *_report_columns(list(windows)), "PAYMENT_METHOD"
         )
     )
 
 
+def _scanned_windows(day: date) -> dict[str, tuple[date, date]]:
+    """The report's windows as far as its scan reaches, and the scan itself."""
+    scan = (LoadDate(day).back(SCAN_DAYS), day)
+    return {**{w: (max(start, scan[0]), end) for w, (start, end) in payment_windows(day).items()}, "scan": scan}
+
+
+def payments_over_dates(tables, load_dates: Sequence) -> DataFrame:
+    """``payments`` of several load dates from one scan of the payments.
+
+    What differs between the dates besides the windows is until when a number is held: the interval
+    ends with the newest snapshot before the load date. So a payment counts from the first load date behind
+    the first snapshot that lies after both the payment and the activation.
+    """
+    dates = DateList([LoadDate.of(d).day for d in load_dates], _scanned_windows)
+    first, last = LoadDate(dates.dates[0]), LoadDate(dates.dates[-1])
+    on = F.col("paid_on")
+    days = daily_payments(tables, last, SCAN_DAYS + (last.day - first.day).days)
+    snapshots = tables.history("nobill_snapshot_subscription", last)
+    held = snapshots.groupBy("phonenumber", "accountnum").agg(F.min("snapshotdate").alias("min_date"))
+    master = tables["customer_master"].select(
+        number_key(F.col("IN_ACCOUNT_NUMBER")).alias("accountnum"),
+        F.col("MSISDN").alias("phonenumber"),
+        F.to_date("FULL_ACTIVATION_DATE").alias("activated"),
+        F.col("CRM_UID").alias("Uid"),
+    )
+    holders = held.join(master, ["accountnum", "phonenumber"]).where(F.col("activated") >= F.col("min_date"))
+    dated = (
+        days.join(holders, "Uid")
+        .where(on >= F.col("min_date"))
+        .withColumn("both", F.greatest(on, F.col("activated")))
+        .drop("Uid", "min_date", "activated")
+    )
+    marks = (
+        snapshots.where(F.col("snapshotdate") > F.lit(first.back(SCAN_DAYS)))
+        .select("accountnum", "phonenumber", F.col("snapshotdate").alias("confirmed"))
+        .distinct()
+    )
+    confirmed = following(dated, marks, ["accountnum", "phonenumber"], "both", "confirmed").where(
+        F.col("confirmed").isNotNull()
+    )
+    windows = list(payment_windows(last))
+    totals = totals_over_dates(
+        confirmed,
+        ["accountnum"],
+        "paid_on",
+        {w: ["amount", "failed"] for w in windows},
+        dates,
+        present="scan",
+        newest=("channel_id", "newest"),
+        known="confirmed",
+    )
+    return totals.join(channel_names(tables), "channel_id", "left").select(
+        F.date_sub("load_date", 1).alias("load_date"),
+        F.col("accountnum").alias("IN_ACCOUNT_NUMBER"),
+        *[as_double(F.col(f"amount_{w}")).alias(f"PAYMENT_TOTAL_AMOUNT_{w}") for w in windows],
+        *[F.col(f"failed_{w}").alias(f"PAYMENT_COUNT_FAILED_{w}") for w in windows],
+        "PAYMENT_METHOD",
+    )
+
+
 def voucher_adjustments(tables, start: date, end: date) -> DataFrame:
     """Voucher rows of the adjustment fact in ``[start, end)``."""
     types = tables["nobill_dim_adjustment_type"].where(
@@ -186,20 +276,38 @@ def vouchers(tables, load_date) -> DataFrame:
     )
 
 
+# Recharge columns by window.
+RECHARGE_COLUMNS = {
+    "M_0": "WALLET_RECHARGE_COUNT_M_0",
+    "M_1": "WALLET_RECHARGE_COUNT_M_1",
+    "last_30_days": "WALLET_RECHARGE_COUNT_last_30_days",
+    "last_31_60_days": "_last_31_60_days",
+    "last_61_90_days": "_last_61_90_days",
+}
+
+
 def wallet_recharges(tables, load_date) -> DataFrame:
     day = LoadDate.of(load_date)
     windows = payment_windows(day)
-    # Output columns by window.
-    names = {
-        "M_0": "WALLET_RECHARGE_COUNT_M_0",
-        "M_1": "WALLET_RECHARGE_COUNT_M_1",
-        "last_30_days": "WALLET_RECHARGE_COUNT_last_30_days",
-        "last_31_60_days": "_last_31_60_days",
-        "last_61_90_days": "_last_61_90_days",
-    }
     return voucher_adjustments(tables, day.back(SCAN_DAYS), day.day).groupBy("fad_accountnum").agg(
         *[
             window_total("fad_time_stamp", windows[suffix], "1").alias(name)
-            for suffix, name in names.items()
+            for suffix, name in RECHARGE_COLUMNS.items()
         ]
     )
+
+
+def wallet_recharges_over_dates(tables, load_dates: Sequence) -> DataFrame:
+    """``wallet_recharges`` of several load dates L, given as ``load_date``, from one scan."""
+    dates = DateList([LoadDate.of(d).day for d in load_dates], _scanned_windows)
+    days = (
+        voucher_adjustments(tables, *dates.scan)
+        .groupBy("fad_accountnum", F.to_date("fad_time_stamp").alias("on"))
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    totals = totals_over_dates(
+        days, ["fad_accountnum"], "on", {w: ["times"] for w in RECHARGE_COLUMNS}, dates, present="scan"
+    )
+    return totals.select(
+        "load_date", "fad_accountnum", *[F.col(f"times_{w}").alias(name) for w, name in RECHARGE_COLUMNS.items()]
+    )

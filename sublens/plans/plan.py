@@ -92,13 +92,21 @@ def package_prices(tables) -> DataFrame:
 
 
 def plan_services(tables) -> DataFrame:
-    """Service id (as text) to event, name and category; one row per service."""
+    """Service id (as text) to event, name and category; a service has a row for each event it is bundled with."""
+    return _named_events(tables["po_po_bundle"], tables)
+
+
+def first_plan_services(tables) -> DataFrame:
+    """``plan_services`` with only the first event of a service, for reports that have a service in one row."""
+    return _named_events(first_per_key(tables["po_po_bundle"], ["ServiceId"], [F.asc_nulls_last("EventId")]), tables)
+
+
+def _named_events(bundles: DataFrame, tables) -> DataFrame:
     events = first_event_rows(tables).select(
         F.col("dev_eventid_base").alias("EventId"),
         F.upper("dev_category_6").alias("EVENT_NAME"),
         F.upper("dev_category_3").alias("EVENT_CATEGORY"),
     )
-    bundles = first_per_key(tables["po_po_bundle"], ["ServiceId"], [F.asc_nulls_last("EventId")])
     return bundles.join(events, "EventId", "left").select(
         F.col("ServiceId").cast("string").alias("PO_EXCEL_SERVICE_ID"),
         F.col("EventId").alias("EVENT_IN_EVENT_ID"),
@@ -187,7 +195,7 @@ def plan_actions(tables, load_date, months: int = HISTORY_MONTHS) -> DataFrame:
 
 def service_slots(actions: DataFrame, tables) -> DataFrame:
     """Split the service list into three, look each up, and fill the NATL / DATA / INTL slots."""
-    services = plan_services(tables)
+    services = first_plan_services(tables)
     for n in (1, 2, 3):
         lookup = services.select(
             F.col("PO_EXCEL_SERVICE_ID").alias(f"service_{n}"),

@@ -58,7 +58,7 @@ def first_event_rows(tables) -> DataFrame:
 
 
 def service_master(tables) -> DataFrame:
-    """Services with their names, event categories and report group; one row per bundled event."""
+    """Services with their names, counters, event categories and report group; one row per bundled event."""
 
     def names(table: str, key: str, name: str) -> DataFrame:
         return tables[table].select(F.col("Id").alias(key), F.col("Name").alias(name))

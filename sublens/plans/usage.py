@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from sublens.functions.decode import usage_tier
 from sublens.functions.helpers import as_double, total
 from sublens.load_date import LoadDate, within_closed
+from sublens.operators.daily_state import DailyState
 from sublens.operators.joins import not_in
 from sublens.operators.latest import collapse
+from sublens.operators.rolling import DateList, totals_over_dates
 
 # Fixed values.
 COUNTED_CATEGORIES = [0, 1]
@@ -342,6 +344,10 @@ def usage_all_windows(tables, load_date, labels: Sequence[str] = tuple(USAGE_COL
     """The labelled windows side by side from a single scan; NULL where an account has no usage."""
     every = usage_windows_of(load_date)
     windows = {label: every[label] for label in labels}
+    return windowed_usage(tables, windows).select("in_account_number", *_side_by_side(list(windows)))
+
+
+def _side_by_side(windows: Sequence[str]) -> list[Column]:
     columns = []
     for window in windows:
         used = F.col(f"rows_{window}") > 0
@@ -350,7 +356,83 @@ def usage_all_windows(tables, load_date, labels: Sequence[str] = tuple(USAGE_COL
             F.when(used, report[r]).alias(name.format(w=window))
             for r, name in USAGE_COLUMNS[window].items()
         ]
-    return windowed_usage(tables, windows).select("in_account_number", *columns)
+    return columns
+
+
+def daily_measures(tables, start: date, end: date) -> DataFrame:
+    """The report's measures per account and day of ``[start, end]``, without test accounts; ``rows`` is never 0."""
+    measures = _measures()
+    days = (
+        counted_usage(tables, start, end)
+        .groupBy("ad_accountnum", "ad_date")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.sum(F.when(test, amount).otherwise(0)).alias(name) for name, (test, amount) in measures.items()],
+        )
+    )
+    return without_test_accounts(days, tables, "ad_accountnum")
+
+
+def _half_open_windows(day: date) -> dict[str, tuple[date, date]]:
+    closed = usage_windows_of(day)
+    windows = {w: (first, LoadDate(last).back(-1)) for w, (first, last) in closed.items()}
+    return {**windows, "scan": (min(s for s, _ in windows.values()), max(e for _, e in windows.values()))}
+
+
+def usage_over_dates(tables, load_dates: Sequence) -> DataFrame:
+    """``usage_all_windows`` of several load dates from one scan of the usage."""
+    dates = DateList([LoadDate.of(d).day for d in load_dates], _half_open_windows)
+    start, end = dates.scan
+    totals = totals_over_dates(
+        daily_measures(tables, start, LoadDate(end).previous),
+        ["ad_accountnum"],
+        "ad_date",
+        {w: ["rows", *_measures()] for w in USAGE_COLUMNS},
+        dates,
+        present="scan",
+    )
+    return totals.select(
+        "load_date", F.col("ad_accountnum").alias("in_account_number"), *_side_by_side(list(USAGE_COLUMNS))
+    )
+
+
+def usage_state(spark, folder: str) -> DailyState:
+    """Day sums and window totals of the usage report, kept in ``folder``."""
+    measures = {w: ["rows", *_measures()] for w in USAGE_COLUMNS} | {"scan": ["rows"]}
+    return DailyState(spark, folder, ["ad_accountnum"], measures, _half_open_windows, present="scan")
+
+
+def start_usage(tables, state: DailyState, load_date) -> DataFrame:
+    """``usage_all_windows`` of the first load date of a state, which reads all days of its windows."""
+    day = LoadDate.of(load_date)
+    start, end = _half_open_windows(day.day)["scan"]
+    _store_usage(tables, state, start, LoadDate(end).previous)
+    return _state_report(state.start(day.day))
+
+
+def advance_usage(tables, state: DailyState, before, load_date) -> DataFrame:
+    """``usage_all_windows`` of a load date from the state at an earlier one; the fact is read for the days
+    between them only. Test accounts are those known when a day is stored."""
+    old, new = LoadDate.of(before), LoadDate.of(load_date)
+    _store_usage(tables, state, old.back(-1), new.day)
+    return _state_report(state.advance(old.day, new.day))
+
+
+def restate_usage(tables, state: DailyState, late, load_date) -> DataFrame:
+    """The report once more after rows of an earlier day came late: that day is stored anew, the totals come
+    from the stored days."""
+    day = LoadDate.of(late).day
+    _store_usage(tables, state, day, day)
+    return _state_report(state.start(LoadDate.of(load_date).day))
+
+
+def _store_usage(tables, state: DailyState, start: date, end: date) -> None:
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    state.store_days(daily_measures(tables, start, end), "ad_date", days)
+
+
+def _state_report(totals: DataFrame) -> DataFrame:
+    return totals.select(F.col("ad_accountnum").alias("in_account_number"), *_side_by_side(list(USAGE_COLUMNS)))
 
 
 def previous_day_usage(tables, load_date) -> DataFrame:

@@ -107,7 +107,7 @@ SCHEMAS = {
     "po_po_servicecategory": "Id int, Name string",
     "po_po_servicetype": "Id int, Name string",
     "po_po_servicechargingtype": "Id int, Name string",
-    "po_po_bundle": "ServiceId bigint, EventId int",
+    "po_po_bundle": "ServiceId bigint, EventId int, CounterId int, CustomerServiceName string",
     "po_service_file": (
         "EXCEL_SERVICE_EVENT_ID string, EXCEL_SERVICE_TYPE string, EXCEL_SERVICE_CATEGORY string, "
         "EXCEL_SERVICE_DESCRIPTION string"

@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import LIBRARY, oracle_sql, queries
 from checks.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
+NAMES = sorted(name for family in LIBRARY for name in family.QUERIES)
 
 
 def plan_of(df) -> str:
@@ -24,14 +25,14 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_no_query_needs_a_broadcast_or_an_all_pairs_join(spark, no_broadcast, name):
     plan = plan_of(queries()[name](spark, SF_DIR))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "PythonUDF", "InPandas"):
         assert forbidden not in plan
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_single_partitions_only_hold_scalar_aggregates(spark, name):
     plan = plan_of(queries()[name](spark, SF_DIR))
     lines = plan.splitlines()

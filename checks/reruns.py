@@ -5,9 +5,18 @@ from __future__ import annotations
 import uuid
 from datetime import timedelta
 
-from checks import money, platform
-from checks.binding import ORDERS_BINDINGS, ORDERS_L, USAGE_BINDINGS, oracle_with, orders_tables, usage_tables
-from sublens.plans import booster, payments, usage
+from checks import lines, money, platform
+from checks.binding import (
+    EVENTS_L,
+    ORDERS_BINDINGS,
+    ORDERS_L,
+    USAGE_BINDINGS,
+    events_tables,
+    oracle_with,
+    orders_tables,
+    usage_tables,
+)
+from sublens.plans import booster, customer_base, disconnection, payments, usage
 from sublens.sources.folders import shared_folder
 
 LOAD_DATES = [ORDERS_L - timedelta(days=n) for n in range(30)]
@@ -27,6 +36,28 @@ def usage_day_by_day(spark, sf_dir: str):
     return report
 
 
+def _chain(last, step):
+    """``step(load date, the one before)`` for some days in a row, the first without one before."""
+    result, before = None, None
+    for n in range(CARRIED_DAYS, -1, -1):
+        day = last - timedelta(days=n)
+        result, before = step(day, before), day
+    return result
+
+
+def latest_block_day_by_day(spark, sf_dir: str):
+    tables, name = events_tables(spark, sf_dir), f"latest_block_{uuid.uuid4().hex}"
+    state = customer_base.latest_block_state(spark, name, f"{shared_folder(spark)}/{name}", buckets=8)
+    return _chain(EVENTS_L, lambda day, before: customer_base.latest_block_from(tables, state, day, before))
+
+
+def block_pairing_day_by_day(spark, sf_dir: str):
+    tables = events_tables(spark, sf_dir)
+    state = disconnection.block_state(spark, f"{shared_folder(spark)}/block-state-{uuid.uuid4().hex}")
+    pairs = _chain(EVENTS_L, lambda day, before: disconnection.paired_blocks_from(tables, state, day, before))
+    return disconnection.shown_until_load_date(pairs, EVENTS_L)
+
+
 QUERIES = {
     "payment_reruns": lambda spark, sf_dir: payments.payments_over_dates(orders_tables(spark, sf_dir), LOAD_DATES),
     "recharge_reruns": lambda spark, sf_dir: payments.wallet_recharges_over_dates(
@@ -37,6 +68,8 @@ QUERIES = {
         orders_tables(spark, sf_dir), LOAD_DATES
     ),
     "usage_day_by_day": usage_day_by_day,
+    "latest_block_day_by_day": latest_block_day_by_day,
+    "block_pairing_day_by_day": block_pairing_day_by_day,
 }
 
 # Every load date L with the first day of the month of L - 1 (m0) and of its own month (u0). Each oracle sums the
@@ -166,4 +199,6 @@ ORACLES = {
     "usage_reruns": oracle_with(USAGE_BINDINGS, money._USAGE_TABLES, _usage_sql()),
     "booster_reruns": oracle_with(ORDERS_BINDINGS, "event_in_booster po_service_file", _boosters_sql()),
     "usage_day_by_day": money.ORACLES["usage_windows"],
+    "latest_block_day_by_day": lines.ORACLES["latest_block"],
+    "block_pairing_day_by_day": lines.ORACLES["block_pairing"],
 }

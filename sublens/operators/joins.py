@@ -62,29 +62,73 @@ def interval_join(
     start: str,
     end: str,
     how: str = "left",
-    bucket_days: int = 30,
+    bucket_days: int = 32,
+    levels: int = 8,
 ) -> DataFrame:
     """Join each point to the intervals ``[start, end)`` of its key that hold it.
 
-    Both sides are cut into buckets of ``bucket_days`` and the bucket joins the key, so that a key
-    with many points and many intervals is spread over many tasks and only neighbours in time are
-    compared. An interval is repeated once per bucket that it touches; a point lies in exactly
-    one, hence no pair is found twice.
+    Time is cut into buckets of ``bucket_days``, and the buckets that an interval touches into the fewest aligned
+    blocks of 1, 2, 4 .. 2**levels buckets: at most two of each size, and as many of the largest as a
+    longer interval needs. A bucket lies in one block of every size, hence in one block of an interval at
+    most, so a point asks once per size that occurs and no pair is found twice. Only distinct points ask, without the rest of their rows; what they find goes
+    back to the rows by key and point. All joins have the block or the point in their key, which spreads a
+    key with many of either.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"no {how} join of points")
+    valid = intervals.where(F.col(start) < F.col(end))
 
     def bucket(moment: Column) -> Column:
-        return F.floor(F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date")) / bucket_days)
-
-    cut = intervals.where(F.col(start) < F.col(end)).withColumn(
-        "__bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end))))
+        days = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date"))
+        return F.floor(days / bucket_days).cast("int")
+
+    blocks = aligned_blocks(bucket(F.col(start)), bucket(F.col(end)) + 1, levels)
+    cut = valid.select(*intervals.columns, F.inline(blocks))
+    sizes = cut.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("__level")))).scalar()
+    tagged = points.withColumn("__point", point)
+    known = F.col("__point").isNotNull()
+    for key in on:
+        known = known & F.col(key).isNotNull()
+    asked = tagged.where(known).select(*on, "__point").distinct()
+    asking = (
+        asked.withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+        .where(F.getbit(sizes, F.col("__level")) == 1)
+        .withColumn("__block", F.call_function("shiftright", bucket(F.col("__point")), F.col("__level")))
+    )
+    found = asking.join(cut, [*on, "__level", "__block"]).where(
+        (F.col("__point") >= F.col(start)) & (F.col("__point") < F.col(end))
     )
-    tagged = points.withColumn("__point", point).withColumn("__bucket", bucket(F.col("__point")))
-    keys = [*on, "__bucket"]
-    left, right = tagged.alias("p"), cut.alias("i")
-    condition = (F.col("__point") >= F.col(f"i.{start}")) & (F.col("__point") < F.col(f"i.{end}"))
-    for key in keys:
-        condition = condition & (F.col(f"p.{key}") == F.col(f"i.{key}"))
-    kept = [F.col(f"i.{c}") for c in intervals.columns if c not in on]
-    return left.join(right, condition, how).select(
-        *[F.col(f"p.{c}") for c in points.columns], *kept
+    others = [c for c in intervals.columns if c not in on]
+    left, right = tagged.alias("p"), found.select(*on, "__point", *others).alias("i")
+    same = F.col("p.__point") == F.col("i.__point")
+    for key in on:
+        same = same & (F.col(f"p.{key}") == F.col(f"i.{key}"))
+    return left.join(right, same, how).select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"i.{c}") for c in others])
+
+
+def aligned_blocks(first: Column, behind: Column, levels: int) -> Column:
+    """The aligned blocks that make up the whole numbers ``first`` to ``behind`` (exclusive): array of (__level,
+    __block), block b of level k holding b * 2**k to (b + 1) * 2**k."""
+
+    def up(k: Column) -> Column:
+        return -F.call_function("shiftright", -first, k)
+
+    def down(k: Column) -> Column:
+        return F.call_function("shiftright", behind, k)
+
+    def block(k: Column, number: Column) -> Column:
+        return F.struct(k.alias("__level"), number.alias("__block"))
+
+    def edges(k: Column) -> Column:
+        odd_first, odd_behind = F.pmod(up(k), F.lit(2)) == 1, F.pmod(down(k), F.lit(2)) == 1
+        ahead = F.when(odd_first & (up(k) < down(k)), block(k, up(k)))
+        rest = up(k) + F.when(odd_first, 1).otherwise(0)
+        return F.array_compact(F.array(ahead, F.when(odd_behind & (rest < down(k)), block(k, down(k) - 1))))
+
+    top = F.lit(levels)
+    none = F.array().cast("array<struct<__level:int,__block:int>>")
+    smaller = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), edges)) if levels else none
+    largest = F.when(
+        up(top) < down(top), F.transform(F.sequence(up(top), down(top) - 1), lambda number: block(top, number))
     )
+    return F.concat(smaller, F.coalesce(largest, none))

@@ -10,6 +10,7 @@ from sublens.functions.helpers import flag
 from sublens.load_date import LoadDate
 from sublens.operators.joins import not_in, with_existence
 from sublens.operators.latest import first_per_key, newest_first
+from sublens.operators.latest_state import LatestState
 
 DEPARTED_DAYS = 91
 
@@ -32,22 +33,51 @@ def number_states(tables, load_date) -> DataFrame:
     )
 
 
+BLOCK_ORDER = ("localtstamp", "historytypekey", "additionalinfo")
+
+
+def blocking_events(tables, load_date) -> DataFrame:
+    return tables.history("nobill_tx_account_history", load_date).where(
+        F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
+    )
+
+
 def latest_block(tables, load_date) -> DataFrame:
     """The newest blocking event per account, kept only if it put a block on.
 
     Removals take part in the ranking, so the filter has to follow it.
     """
-    events = tables.history("nobill_tx_account_history", load_date).where(
-        F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
-    )
+    events = blocking_events(tables, load_date)
     newest = first_per_key(
-        events.select("accountnum", "additionalinfo", "historytypekey", "localtstamp"),
+        _ranked_block_columns(events),
         ["accountnum"],
-        newest_first("localtstamp", "historytypekey", "additionalinfo"),
+        newest_first(*BLOCK_ORDER),
     )
     return newest.where(F.col("historytypekey") == decode.SERVICE_ADDED)
 
 
+def latest_block_state(spark, name: str, folder: str, buckets: int = 200) -> LatestState:
+    """The newest blocking event per account, kept in ``folder``."""
+    return LatestState(spark, name, folder, ["accountnum"], BLOCK_ORDER, buckets)
+
+
+def latest_block_from(tables, state: LatestState, load_date, before=None) -> DataFrame:
+    """``latest_block`` from the state at an earlier load date and the events since; without one from all events."""
+    day = LoadDate.of(load_date)
+    events = blocking_events(tables, day)
+    if before is None:
+        rows = state.start(_ranked_block_columns(events), day.day)
+    else:
+        old = LoadDate.of(before)
+        since = events.where(F.col("tstamp") >= F.lit(old.day).cast("timestamp_ntz"))
+        rows = state.merge(_ranked_block_columns(since), old.day, day.day)
+    return rows.where(F.col("historytypekey") == decode.SERVICE_ADDED)
+
+
+def _ranked_block_columns(events: DataFrame) -> DataFrame:
+    return events.select("accountnum", "additionalinfo", "historytypekey", "localtstamp")
+
+
 def current_lines(tables, load_date) -> DataFrame:
     numbers = number_states(tables, load_date)
     blocks = latest_block(tables, load_date).select("accountnum", F.col("additionalinfo").alias("block_service"))

@@ -8,20 +8,27 @@ from pyspark.sql import functions as F
 from sublens.functions import decode
 from sublens.functions.helpers import latest
 from sublens.load_date import LoadDate
+from sublens.operators.carried_pairs import CarriedPairs
 from sublens.operators.joins import interval_join
 from sublens.operators.ordered import paired_in_order
 from sublens.plans.customer_base import eligible_snapshots
 
 
-def paired_blocks(tables, load_date) -> DataFrame:
-    """(account, service, add, remove): the n-th add with the n-th remove, NULL while still open."""
-    changes = tables.history("nobill_tx_account_history", load_date).where(
+_PAIR_KEYS = ["accountnum", "additionalinfo"]
+
+
+def _block_changes(tables, load_date) -> DataFrame:
+    return tables.history("nobill_tx_account_history", load_date).where(
         F.col("additionalinfo").isin(decode.BLOCKING_SERVICES)
         & F.col("historytypekey").isin(decode.SERVICE_ADDED, decode.SERVICE_REMOVED)
     )
+
+
+def paired_blocks(tables, load_date) -> DataFrame:
+    """(account, service, add, remove): the n-th add with the n-th remove, NULL while still open."""
     return paired_in_order(
-        changes,
-        keys=["accountnum", "additionalinfo"],
+        _block_changes(tables, load_date),
+        keys=_PAIR_KEYS,
         at="tstamp",
         opens=F.col("historytypekey") == decode.SERVICE_ADDED,
         opened_at="add_date",
@@ -29,10 +36,31 @@ def paired_blocks(tables, load_date) -> DataFrame:
     )
 
 
-def block_intervals(tables, load_date) -> DataFrame:
+def block_state(spark, folder: str) -> CarriedPairs:
+    """Blocks paired so far, kept in ``folder``."""
+    return CarriedPairs(spark, folder, _PAIR_KEYS, "add_date", "remove_date")
+
+
+def paired_blocks_from(tables, state: CarriedPairs, load_date, before=None) -> DataFrame:
+    """``paired_blocks`` from the state at an earlier load date and the changes since; without one from all."""
+    day, added = LoadDate.of(load_date), F.col("historytypekey") == decode.SERVICE_ADDED
+    changes = _block_changes(tables, day)
+    if before is None:
+        return state.start(changes, "tstamp", added, day.day)
+    old = LoadDate.of(before)
+    since = changes.where(F.col("tstamp") >= F.lit(old.day).cast("timestamp_ntz"))
+    return state.advance(since, "tstamp", added, old.day, day.day)
+
+
+def shown_until_load_date(pairs: DataFrame, load_date) -> DataFrame:
     """The blocks, those still open shown as lasting until L."""
     still_open = F.lit(LoadDate.of(load_date).day).cast("timestamp_ntz")
-    return paired_blocks(tables, load_date).withColumn("remove_date", F.coalesce("remove_date", still_open))
+    return pairs.withColumn("remove_date", F.coalesce("remove_date", still_open))
+
+
+def block_intervals(tables, load_date) -> DataFrame:
+    """The blocks, those still open shown as lasting until L."""
+    return shown_until_load_date(paired_blocks(tables, load_date), load_date)
 
 
 def covering_blocks(tables, load_date) -> DataFrame:

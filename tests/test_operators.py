@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sublens.operators.joins import interval_join, not_in, repeat_rows, with_existence
+from sublens.operators.joins import aligned_blocks, interval_join, not_in, repeat_rows, with_existence
 from sublens.operators.latest import collapse, duplicated_keys, first_per_key, latest_refresh
 from sublens.operators.ordered import numbered_in_order, paired_in_order, previous_in_order
 
@@ -129,9 +129,9 @@ def test_paired_in_order(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("bucket_days", [1, 5, 400])
+@pytest.mark.parametrize("bucket_days, levels", [(1, 8), (1, 2), (5, 3), (5, 0), (400, 1)])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_interval_join_equals_range_join(spark, rows, bucket_days, how):
+def test_interval_join_equals_range_join(spark, rows, bucket_days, levels, how):
     rng = random.Random(11)
     day = lambda: datetime(2024, 1, 1) + timedelta(days=rng.randrange(120), hours=rng.choice([0, 0, 13]))
     key = lambda: 1 if rng.random() < 0.4 else rng.choice([2, 3, None])
@@ -139,7 +139,7 @@ def test_interval_join_equals_range_join(spark, rows, bucket_days, how):
     intervals = [(key(), i, day(), day()) for i in range(60)]
     left = spark.createDataFrame(points, "k int, pid int, at timestamp_ntz")
     right = spark.createDataFrame(intervals, "k int, iid int, lo timestamp_ntz, hi timestamp_ntz")
-    joined = interval_join(left, right, ["k"], F.col("at"), "lo", "hi", how, bucket_days)
+    joined = interval_join(left, right, ["k"], F.col("at"), "lo", "hi", how, bucket_days, levels)
     expected = []
     for k, pid, at in points:
         hits = [(k, pid, iid) for k2, iid, lo, hi in intervals if k is not None and k == k2 and lo <= at < hi]
@@ -147,3 +147,31 @@ def test_interval_join_equals_range_join(spark, rows, bucket_days, how):
     assert rows(joined, "k", "pid", "iid") == sorted(
         expected, key=lambda t: tuple((v is None, str(v)) for v in t)
     )
+
+
+def test_aligned_blocks_are_few_and_hold_each_number_once(spark):
+    rng = random.Random(4)
+    spans = [(a, a + rng.randrange(1, 600)) for a in (rng.randrange(-400, 400) for _ in range(150))] + [(0, 8192), (-1, 1)]
+    df = spark.createDataFrame(spans, "a int, b int")
+    for r in df.select("a", "b", aligned_blocks(F.col("a"), F.col("b"), 9).alias("blocks")).collect():
+        held = [n for k, b in r["blocks"] for n in range(b << k, (b + 1) << k)]
+        assert sorted(held) == list(range(r["a"], r["b"]))
+        small = [k for k, _ in r["blocks"] if k < 9]
+        assert all(small.count(k) <= 2 for k in small) and len(r["blocks"]) - len(small) <= (r["b"] - r["a"]) >> 9
+
+
+def test_interval_join_of_a_hot_key_with_long_intervals(spark):
+    # one key with all points, blocks of twenty years and of hours, equal points on many rows
+    points = spark.range(4000).select(
+        F.lit(1).alias("k"), "id", F.expr("timestamp_ntz '2004-01-01' + make_dt_interval(cast(id % 1000 as int) * 7)").alias("at")
+    )
+    intervals = spark.createDataFrame(
+        [(1, 1, datetime(2001, 5, 5), datetime(2021, 5, 5)), (1, 2, datetime(2010, 1, 1), datetime(2010, 1, 2)), (2, 3, datetime(2000, 1, 1), datetime(2022, 1, 1))],
+        "k int, iid int, lo timestamp_ntz, hi timestamp_ntz",
+    )
+    found = interval_join(points, intervals, ["k"], F.col("at"), "lo", "hi")
+    expected = points.alias("p").join(
+        intervals.alias("i"), F.expr("p.k = i.k and p.at >= i.lo and p.at < i.hi"), "left"
+    ).select("p.k", "id", "iid")
+    assert sorted(map(str, found.select("k", "id", "iid").collect())) == sorted(map(str, expected.collect()))
+    assert interval_join(points, intervals.limit(0), ["k"], F.col("at"), "lo", "hi").where("iid is null").count() == 4000

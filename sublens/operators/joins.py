@@ -41,15 +41,19 @@ def with_existence(df: DataFrame, keys: DataFrame, on: str, name: str, yes, no)
 def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
     """Repeat each row ``times`` times (NULL counts as once) and drop that column.
 
-    Two nested explodes keep the generated arrays small when one row has to be repeated millions
-    of times, and several blocks of one row can be produced without holding them together.
+    A row is first split into blocks of copies, and the blocks are dealt over all tasks before their copies are
+    made: a row that has to be repeated millions of times is the work of many tasks, and no generated array
+    is large. What is shuffled are blocks, not copies.
     """
     n = F.coalesce(F.col(times), F.lit(1)).cast("bigint")
     blocks = df.withColumn(
         "__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / block)))
     )
+    # A fixed number of partitions, which adaptive execution does not merge: blocks are small but mean work.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(tasks, *[F.col(f"`{c}`") for c in blocks.columns])
     size = F.least(F.lit(block).cast("bigint"), n - F.col("__block") * block)
-    return blocks.withColumn(
+    return dealt.withColumn(
         "__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))
     ).drop("__block", "__copy", times)
 

@@ -28,17 +28,22 @@ def previous_in_order(
     """``lag(1)`` of some columns per key in ascending order; ``previous`` maps new name to column.
 
     ``bucket`` must not decrease along the order. In front of each bucket stands a copy of the
-    last row of the key's bucket before it.
+    last row of the key's bucket before it. With a single order column, never NULL, and columns of fixed width
+    the last rows come from a hash aggregate; otherwise the whole table is sorted for them.
     """
     rows = df.withColumn(_BUCKET, bucket)
-    sources = sorted(set(previous.values()))
-    last_rows = rows.groupBy(*keys, _BUCKET).agg(
-        F.max_by(F.struct(*sources), F.struct(*order)).alias("__last")
-    )
+    sources = sorted(set(previous.values()) - set(keys))
     across = Window.partitionBy(*keys).orderBy(_BUCKET)
-    fronts = last_rows.withColumn("__last", F.lag("__last").over(across)).select(
-        *keys, _BUCKET, *[F.col(f"__last.{c}").alias(c) for c in sources if c not in keys]
-    )
+    if len(order) == 1:
+        last_rows = rows.groupBy(*keys, _BUCKET).agg(*[F.max_by(c, order[0]).alias(c) for c in sources])
+        fronts = last_rows.select(*keys, _BUCKET, *[F.lag(c).over(across).alias(c) for c in sources])
+    else:
+        last_rows = rows.groupBy(*keys, _BUCKET).agg(
+            F.max_by(F.struct(*sources), F.struct(*order)).alias("__last")
+        )
+        fronts = last_rows.withColumn("__last", F.lag("__last").over(across)).select(
+            *keys, _BUCKET, *[F.col(f"__last.{c}").alias(c) for c in sources]
+        )
     return _behind_fronts(
         rows, fronts, keys, order, lambda window: {new: F.lag(c).over(window) for new, c in previous.items()}
     )

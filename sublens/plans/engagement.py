@@ -27,10 +27,13 @@ LOYALTY_DAYS = 30
 ID_BLOCK = 50_000_000
 
 
+def _countries(tables) -> DataFrame:
+    return collapse(tables["dim_roam_country_operator"], "MCC", country="country")
+
+
 def visited_countries(tables, load_date) -> DataFrame:
     """Network messages of the last six months with the country they came from."""
     day = LoadDate.of(load_date)
-    countries = collapse(tables["dim_roam_country_operator"], "MCC", country="country")
     messages = tables["roaming_ussd_received_data"].where(
         within(F.to_date("DATETIME"), day.months_back(6, day.previous), day.day)
         & F.col("MCC").rlike("[0-9]")
@@ -38,28 +41,40 @@ def visited_countries(tables, load_date) -> DataFrame:
     )
     home = F.col("MCC").try_cast("int") == HOME_MCC
     country = F.when(home, HOME_COUNTRY).otherwise(F.coalesce("country", F.lit(UNKNOWN_COUNTRY)))
-    return messages.join(countries, "MCC", "left").select(
+    return messages.join(_countries(tables), "MCC", "left").select(
         "ID", "MSISDN", F.to_date("DATETIME").alias("seen_on"), country.alias("country")
     )
 
 
-def country_changes(tables, load_date, id_block: int = ID_BLOCK) -> DataFrame:
-    """Messages sent from another country than the subscriber's message before, home included."""
+def _moves(tables, load_date, id_block: int) -> DataFrame:
+    """Messages sent from another country than the message before, whose country is given as a number.
+
+    The number has a fixed width, so that looking for each bucket's last message stays a hash aggregate.
+    """
     stream = previous_in_order(
-        visited_countries(tables, load_date),
+        visited_countries(tables, load_date).withColumn("country_key", F.xxhash64("country")),
         ["MSISDN"],
         ["ID"],
         F.floor(F.col("ID") / id_block),
-        {"previous_country": "country"},
+        {"previous_key": "country_key"},
     )
-    moved = F.col("previous_country").isNull() | (F.col("country") != F.col("previous_country"))
-    return stream.where(moved)
+    moved = F.col("previous_key").isNull() | (F.col("country_key") != F.col("previous_key"))
+    return stream.where(moved).drop("country_key")
+
+
+def country_changes(tables, load_date, id_block: int = ID_BLOCK) -> DataFrame:
+    """Messages sent from another country than the subscriber's message before, home included."""
+    fixed = F.array(F.lit(HOME_COUNTRY), F.lit(UNKNOWN_COUNTRY))
+    listed = _countries(tables).agg(F.collect_set("country").alias("names"))
+    names = listed.select(F.explode(F.array_union("names", fixed)).alias("previous_country"))
+    keyed = names.withColumn("previous_key", F.xxhash64("previous_country"))
+    return _moves(tables, load_date, id_block).join(keyed, "previous_key", "left").drop("previous_key")
 
 
 def roaming_trips(tables, load_date, id_block: int = ID_BLOCK) -> DataFrame:
     """Trips abroad within 1, 3 and 6 months and the number of countries visited."""
     day = LoadDate.of(load_date)
-    trips = country_changes(tables, day, id_block).where(F.col("country") != HOME_COUNTRY)
+    trips = _moves(tables, day, id_block).where(F.col("country") != HOME_COUNTRY)
 
     def since(months: int):
         recent = F.col("seen_on") >= F.lit(day.months_back(months, day.previous))

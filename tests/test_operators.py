@@ -175,3 +175,11 @@ def test_interval_join_of_a_hot_key_with_long_intervals(spark):
     ).select("p.k", "id", "iid")
     assert sorted(map(str, found.select("k", "id", "iid").collect())) == sorted(map(str, expected.collect()))
     assert interval_join(points, intervals.limit(0), ["k"], F.col("at"), "lo", "hi").where("iid is null").count() == 4000
+
+
+def test_copies_of_one_row_are_made_by_many_tasks(spark):
+    df = spark.createDataFrame([("hot", 4096 * 64), ("a", 1), ("b", None)], "k string, times bigint")
+    made = repeat_rows(df, "times").groupBy("k", F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in made) == 4096 * 64 + 2
+    shares = [r["count"] for r in made if r["k"] == "hot"]
+    assert len(shares) > 4 and max(shares) < 4096 * 64 // 3

@@ -74,3 +74,15 @@ def test_sort_merge_joins_give_the_same_rows(spark, no_broadcast, name):
     con = connect(SF_DIR)
     assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
     con.close()
+
+
+@pytest.mark.parametrize("name", ["payment_windows", "last_method", "payment_reruns", "usage_reruns", "booster_reruns"])
+def test_newest_rows_of_facts_come_from_hash_aggregates(spark, no_broadcast, name):
+    assert "SortAggregate" not in plan_of(queries()[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize("name", ["roaming_trips", "country_changes"])
+def test_only_lookups_are_collapsed_by_sorting(spark, no_broadcast, name):
+    # the greatest name per network and the account of a number; messages are never sorted for their newest
+    sorting = [line for line in plan_of(queries()[name](spark, SF_DIR)).splitlines() if "SortAggregate" in line]
+    assert all("max(country#" in line or "max(IN_ACCOUNT_NUMBER#" in line for line in sorting), sorting

@@ -116,8 +116,8 @@ def bin_of(keys):
 class Lexicon:
     """What scoring needs of the counts: the head by key, the order of symbols, sizes of bins."""
 
-    def __init__(self, keys: np.ndarray, c: np.ndarray, n: np.ndarray, tokens: int, kinds: int, bin_size: np.ndarray):
-        order = np.lexsort((keys, -n))
+    def __init__(self, keys: np.ndarray, c: np.ndarray, tokens: int, kinds: int, bin_size: np.ndarray):
+        order = np.lexsort((keys, -c))
         symbol = np.full(len(keys), -1, np.int32)
         symbol[order[:TOP]] = np.arange(min(TOP, len(keys)))
         by_key = np.argsort(keys)
@@ -241,8 +241,8 @@ def gradient_steps(
 
 def _round(shared):
     def run(table: pa.Table) -> pa.Table:
-        given, squares, start = shared.value
-        weights, squares = given.copy(), squares.copy()
+        given, squares, totals = shared.value
+        start, weights, squares = start_weights(totals), given.copy(), squares.copy()
         contexts, at = np.unique(table["context"].to_numpy(), return_inverse=True)
         counts = np.zeros((len(contexts), SYMBOLS), np.float32)
         np.add.at(counts, (at, table["symbol"].to_numpy()), table["n"].to_numpy())
@@ -269,13 +269,12 @@ def trained(counts: DataFrame) -> np.ndarray:
     totals = np.zeros(SYMBOLS)
     for row in counts.groupBy("symbol").agg(F.sum("n").alias("n")).collect():
         totals[row["symbol"]] = row["n"]
-    start = start_weights(totals)
-    weights, squares = start, np.zeros((ROWS, width), np.float32)
+    weights, squares = start_weights(totals), np.zeros((ROWS, width), np.float32)
     dealt = written(
         counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(PARTS)).cast("int")), "maxent-parts"
     )
     for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((weights, squares, start))
+        shared = spark.sparkContext.broadcast((weights, squares, totals))
         seen, change = np.zeros(ROWS), np.zeros((ROWS, width), np.float32)
         # PARTS rows of fixed size, one at a time
         results = dealt.groupBy("part").applyInArrow(
@@ -288,7 +287,8 @@ def trained(counts: DataFrame) -> np.ndarray:
         change *= (1 / np.maximum(seen, 1)).astype(np.float32)[:, None]
         # rates fall with the distance a weight has gone
         weights, squares = weights + change, squares + (1e-3 * change) ** 2
-        shared.unpersist()
+        # all results are in; the driver lets go of its copy as well
+        shared.destroy()
     return weights
 
 
@@ -341,25 +341,28 @@ def _scorer(lexicon: Lexicon, weights: np.ndarray, ends_known: int):
 
 
 def lexicon_of(vocabulary: DataFrame, train_texts: int) -> tuple[Lexicon, Column]:
-    """The head, and the condition on n that tells its words from rare ones."""
-    level = F.floor(8 * F.log2("n")).cast("int")
+    """The head, and the condition on c that tells its words from rare ones.
+
+    Both go by the training counts alone; a word that is not in them is never in the head.
+    """
+    level = F.when(F.col("c") > 0, F.floor(8 * F.log2("c")).cast("int")).otherwise(-1)
     # counts per level of frequency: some hundred rows
-    levels = vocabulary.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect()
+    levels = vocabulary.where("c > 0").groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("level")).collect()
     taken, least = 0, 2**31 - 1
     for row in levels:
         taken += row["words"]
         if taken > HEAD:
             break
         least = row["level"]
-    head = vocabulary.filter(level >= least).select("h", "c", "n").toArrow()
-    keys, c, n = (head[x].to_numpy() for x in ("h", "c", "n"))
+    head = vocabulary.filter(level >= least).select("h", "c").toArrow()
+    keys, c = (head[x].to_numpy() for x in ("h", "c"))
     totals = vocabulary.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("kinds")).first()
     size = np.ones(BINS)
     for row in (
         vocabulary.groupBy(F.col("h").bitwiseAND(BINS - 1).alias("bin")).agg(F.sum(F.col("c") + (F.col("c") > 0).cast("long")).alias("size")).collect()
     ):
         size[row["bin"]] += row["size"]
-    lexicon = Lexicon(keys, c, n, (totals["c"] or 0) + train_texts, (totals["kinds"] or 0) + (train_texts > 0), size)
+    lexicon = Lexicon(keys, c, (totals["c"] or 0) + train_texts, (totals["kinds"] or 0) + (train_texts > 0), size)
     own = lexicon.symbol >= 0
     np.subtract.at(lexicon.bin_size, bin_of(lexicon.keys[own]), lexicon.c[own] + (lexicon.c[own] > 0))
     return lexicon, level >= least

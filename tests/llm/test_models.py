@@ -39,6 +39,18 @@ def test_lm_base_score_matches_brute_force_and_the_model_beats_it(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_lm_scores_do_not_depend_on_held_out_texts(spark):
+    rows = [(i, prose(i, 4)) for i in range(100, 160)]
+    held = next(d for d, _ in rows if remainder(d, 7) == 2)
+    # words of its own that are more frequent than any other, and copies of common ones
+    other = [(d, "zebra the the " * 400 + "quagga " * 900 if d == held else t) for d, t in rows]
+    first, second = ({r["doc_id"]: r for r in maxent.digest(frame(spark, x)).collect()} for x in (rows, other))
+    for d, _ in rows:
+        if d != held:
+            assert math.isclose(first[d]["score"], second[d]["score"], rel_tol=1e-7), d
+            assert first[d]["base_score"] == second[d]["base_score"]
+
+
 def test_lm_rare_words_meet_their_counts_in_the_join(spark, monkeypatch):
     rows = frame(spark, [(i, prose(i, 4)) for i in range(100, 160)])
     whole = {r["doc_id"]: r for r in maxent.digest(rows).collect()}

@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: list[str] = []
+from sublens.sources.folders import shared_folder
 
 
 def folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; where it is unset, as in tests, one folder of our own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not _LOCAL:
-        _LOCAL.append("file://" + tempfile.mkdtemp(prefix="sublens-checkpoint-"))
-    return _LOCAL[0]
+    """The session's checkpoint folder, which driver and executors share; see ``shared_folder`` where it is unset."""
+    return shared_folder(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -38,12 +38,13 @@ def with_existence(df: DataFrame, keys: DataFrame, on: str, name: str, yes, no)
     ).drop("__seen")
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
+def repeat_rows(df: DataFrame, times: str, block: int = 4096, by: Sequence[str] = ()) -> DataFrame:
     """Repeat each row ``times`` times (NULL counts as once) and drop that column.
 
     A row is first split into blocks of copies, and the blocks are dealt over all tasks before their copies are
     made: a row that has to be repeated millions of times is the work of many tasks, and no generated array
-    is large. What is shuffled are blocks, not copies.
+    is large. What is shuffled are blocks, not copies. ``by`` names columns that tell rows apart well enough to
+    deal them, by default all.
     """
     n = F.coalesce(F.col(times), F.lit(1)).cast("bigint")
     blocks = df.withColumn(
@@ -51,7 +52,7 @@ def repeat_rows(df: DataFrame, times: str, block: int = 4096) -> DataFrame:
     )
     # A fixed number of partitions, which adaptive execution does not merge: blocks are small but mean work.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = blocks.repartition(tasks, *[F.col(f"`{c}`") for c in blocks.columns])
+    dealt = blocks.repartition(tasks, *[F.col(f"`{c}`") for c in ([*by, "__block"] if by else blocks.columns)])
     size = F.least(F.lit(block).cast("bigint"), n - F.col("__block") * block)
     return dealt.withColumn(
         "__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))

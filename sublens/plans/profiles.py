@@ -87,7 +87,8 @@ def survey_counts(tables, load_date) -> DataFrame:
 
 def with_survey_fan_out(df: DataFrame, tables, load_date) -> DataFrame:
     """One row per survey answer, without carrying the answers through the join."""
-    return repeat_rows(df.join(survey_counts(tables, load_date), "IN_ACCOUNT_NUMBER", "left"), "answer_rows")
+    counted = df.join(survey_counts(tables, load_date), "IN_ACCOUNT_NUMBER", "left")
+    return repeat_rows(counted, "answer_rows", by=["IN_ACCOUNT_NUMBER"])
 
 
 def acquisition(tables, load_date, base: DataFrame | None = None) -> DataFrame:

@@ -5,22 +5,28 @@ in any string of WIDTH bytes, the one with the smallest hash (the leftmost of eq
 strings have the same anchor at the same place, so every long match shows as two anchors with one key.
 About one byte in eighty is an anchor.
 
-Each batch of documents gets a sparse suffix array: its anchors ordered by key, bucketed by key. The
-batch is merge-scanned against every existing level, an ordered list of distinct keys, for keys that
-occur in both; then it becomes a level itself, and levels that stand for equally many batches
-merge. So n batches keep about log n levels, and a key is rewritten about log n times. All tables are
-bucketed alike, and scans need no shuffle.
-
-For the anchors of matched keys the strings around them decide. Where another anchor has the same
-surroundings (hash of all WIDTH-byte strings that contain the gram), all these strings are repeated.
-Of the others, and one anchor of each such class, the surroundings are fetched, and all their strings
-of WIDTH bytes compared by 64-bit hash, many keys per task. A key with more than ``LARGE`` different
-surroundings does not go into one task: its strings are counted by hash with pre-aggregation.
+Each batch of documents gets a sparse suffix array: its anchors in the byte order of their first GRAM
+bytes, within buckets. The batch is merge-scanned against every existing level, an ordered list of
+distinct heads of suffixes, for heads that occur in both; then it becomes a level itself, and levels that
+stand for equally many batches merge. So n batches keep about log n levels, and a head is rewritten about
+log n times. All tables are bucketed and ordered alike, and scans need no shuffle.
+
+Anchors that share their head are extended to both sides. A string of WIDTH bytes around an anchor is told
+by the number of its bytes before the anchor, 0 to LEFT. For a range of these numbers, the *core* is what
+all its strings share and the *hull* what they cover together. Anchors are ordered by core and hull: one
+whose neighbour has the same hull shares all strings of the range, one without a neighbour of the same core
+shares none, and for the others the range is cut in four and compared again, down to single strings. The
+order alone decides, so nothing is joined, and a boundary costs a few rows in each of four rounds. Anchors
+of many small heads are compared in one task; those of a head with more than ``LARGE`` different
+surroundings are ordered over all tasks, by the same rule (neighbours across a task's border are settled
+from the first and last row of each task). Cores are compared by 64-bit hash.
 Texts that cannot hold a match stay out of shuffles by a filter of bounded size.
 
 Defined cases: null text is empty. A text of fewer than WIDTH bytes loses nothing. Texts that occur
 twice are removed whole (if long enough); repeated rows are such texts. Rows without doc_id are rows
-like others. Overlapping repeats in one text count. An empty table gives an empty result.
+like others. Overlapping repeats in one text count. Ties do not occur: a byte is covered or it is not.
+A text is worked on as a whole in one task, with about forty bytes of memory for each of its bytes. Extra
+columns are passed over. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +48,12 @@ from sublens.llm.scratch import folder, same_row, text_key, written
 WIDTH, GRAM = 200, 40
 LEFT = WIDTH - GRAM
 BATCHES = 4
-# Surroundings compared in one task: about 20 MB of string hashes and some times that while they are sorted.
+# Surroundings compared in one task: 360 bytes each, and some ten times that in hashes.
 LARGE = 4_000
+FAN = 4
+ROUNDS = 4  # FAN ** ROUNDS strings at least
 SEEN = 50_000
+BLOCK = 1 << 22
 _PLACE = 28
 _INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 _inverses = np.ones(1, np.uint64)
@@ -72,21 +82,22 @@ class Rolling:
 
 def anchors(data: np.ndarray, offsets: np.ndarray, roll: Rolling) -> np.ndarray:
     """Places of the anchors of all texts."""
-    n = len(data) - GRAM + 1
     starts = np.concatenate([np.arange(a, b - WIDTH + 1) for a, b in zip(offsets[:-1], offsets[1:]) if b - a >= WIDTH] or [np.zeros(0, np.int64)])
-    if not len(starts):
-        return starts
-    at = np.arange(n)
     low = np.uint64((1 << _PLACE) - 1)
-    least = (mixed(roll(at, at + GRAM)) & ~low) | at.astype(np.uint64)
-    # least over 1, 2, 4, ... 128 grams, then over all LEFT + 1
-    reach = 1
-    while reach * 2 <= LEFT + 1:
-        least = np.minimum(least[:-reach], least[reach:])
-        reach *= 2
-    rest = LEFT + 1 - reach
-    found = (np.minimum(least[starts], least[starts + rest]) & low).astype(np.int64)
-    return found[np.flatnonzero(np.diff(found, prepend=-1))]
+    found = []
+    for k in range(0, len(starts), BLOCK):
+        some = starts[k : k + BLOCK]
+        at = np.arange(some[0], some[-1] + LEFT + 1)
+        least = (mixed(roll(at, at + GRAM)) & ~low) | (at - some[0]).astype(np.uint64)
+        # least over 1, 2, 4, ... 128 grams, then over all LEFT + 1
+        reach = 1
+        while reach * 2 <= LEFT + 1:
+            least = np.minimum(least[:-reach], least[reach:])
+            reach *= 2
+        rest = LEFT + 1 - reach
+        some = some - some[0]
+        found.append((np.minimum(least[some], least[some + rest]) & low).astype(np.int64) + at[0])
+    return np.unique(np.concatenate(found)) if found else starts
 
 
 def _surroundings(place, first, last):
@@ -94,8 +105,15 @@ def _surroundings(place, first, last):
     return np.maximum(place - LEFT, first), np.minimum(place + WIDTH, last)
 
 
+def heads(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The first GRAM bytes of each suffix."""
+    rows = np.ascontiguousarray(data[at[:, None] + np.arange(GRAM)])
+    offsets = (np.arange(len(at) + 1) * GRAM).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
 def suffixes(docs: DataFrame) -> DataFrame:
-    """key, around, doc_id, text_key, pos of each anchor. A text the task has just met is passed over."""
+    """head, around, doc_id, text_key, pos of each anchor. A text the task has just met is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -119,23 +137,23 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 shape = ((at - a) * 1024 + (b - at)).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(mixed(roll(at, at + GRAM)).view(np.int64)),
+                        heads(data, at),
                         pa.array(mixed(roll(a, b) + mixed(shape)).view(np.int64)),
                         part.column(0).take(pa.array(row)),
                         part.column(1).take(pa.array(row)),
                         pa.array((at - offsets[row]).astype(np.int32)),
                     ],
-                    ["key", "around", "doc_id", "text_key", "pos"],
+                    ["head", "around", "doc_id", "text_key", "pos"],
                 )
 
     kind = docs.schema["doc_id"].dataType
-    fields = [("key", T.LongType()), ("around", T.LongType()), ("doc_id", kind), ("text_key", T.LongType()), ("pos", T.IntegerType())]
+    fields = [("head", T.BinaryType()), ("around", T.LongType()), ("doc_id", kind), ("text_key", T.LongType()), ("pos", T.IntegerType())]
     rows = docs.filter(F.octet_length("text") >= WIDTH).select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
 class SuffixIndex:
-    """The index family. ``add`` takes a batch; ``matched`` then holds all keys that occur twice."""
+    """The index family. ``add`` takes a batch; ``matched`` then holds all suffixes whose head occurs twice."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.buckets = spark, int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -145,38 +163,38 @@ class SuffixIndex:
         self.found: list[DataFrame] = []
 
     def _stored(self, df: DataFrame, dealt: bool = False) -> DataFrame:
-        """A table bucketed and ordered by key."""
+        """A table bucketed, and in the byte order of the heads."""
         name = f"suffix_{uuid.uuid4().hex}"
-        rows = df if dealt else df.repartition(self.buckets, "key")
-        rows.write.option("path", f"{folder(self.spark)}/{name}").bucketBy(self.buckets, "key").sortBy("key").saveAsTable(name)
+        rows = df if dealt else df.repartition(self.buckets, "head")
+        rows.write.option("path", f"{folder(self.spark)}/{name}").bucketBy(self.buckets, "head").sortBy("head").saveAsTable(name)
         self.tables.append(name)
         return self.spark.table(name)
 
     def add(self, docs: DataFrame) -> None:
         array = self._stored(suffixes(docs))
         self.batches.append(array)
-        counts = array.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        self.found.append(written(counts.filter("n > 1").select("key"), "suffix-matched"))
-        keys = self._stored(array.select("key").distinct(), dealt=True)
+        counts = array.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
+        self.found.append(written(counts.filter("n > 1").select("head"), "suffix-matched"))
+        known = self._stored(array.select("head").distinct(), dealt=True)
         for _, level in self.levels:
-            self.found.append(written(keys.join(level.hint("merge"), "key"), "suffix-matched"))
+            self.found.append(written(known.join(level.hint("merge"), "head"), "suffix-matched"))
         size = 1
         while self.levels and self.levels[-1][0] == size:
             _, level = self.levels.pop()
-            keys, size = self._stored(keys.unionByName(level).distinct()), 2 * size
-        self.levels.append((size, keys))
+            known, size = self._stored(known.unionByName(level).distinct()), 2 * size
+        self.levels.append((size, known))
 
     def matched(self) -> DataFrame:
-        """All suffixes whose key occurs twice, in any batch."""
-        keys = self.found[0]
+        """key (hash of the head), around, doc_id, text_key, pos of all suffixes whose head occurs twice, in any batch."""
+        known = self.found[0]
         for more in self.found[1:]:
-            keys = keys.unionByName(more)
-        keys = self._stored(keys.distinct())
-        hits = [array.join(keys.hint("merge"), "key") for array in self.batches]
+            known = known.unionByName(more)
+        known = self._stored(known.distinct())
+        hits = [array.join(known.hint("merge"), "head") for array in self.batches]
         out = hits[0]
         for more in hits[1:]:
             out = out.unionByName(more)
-        return out
+        return out.select(F.xxhash64("head").alias("key"), "around", "doc_id", "text_key", "pos")
 
     def close(self) -> None:
         """Drop the tables and their files."""
@@ -188,7 +206,7 @@ class SuffixIndex:
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Surroundings of wanted anchors (key, large, single, doc_id, text_key, pos): adds first and around."""
+    """Surroundings of wanted anchors (key, large, single, doc_id, text_key, pos): adds left and around."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +222,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [
                         flat.field("key"), flat.field("large"), flat.field("single"),
                         part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
-                        pa.array((a - offsets[row]).astype(np.int32)),
+                        flat.field("pos"), pa.array((place - a).astype(np.int32)),
                         pa.array([text[x:y] for x, y in zip(a.tolist(), b.tolist())], pa.binary()),
                     ],
                     [f.name for f in schema],
@@ -214,8 +232,8 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("key", T.LongType()), T.StructField("large", T.BooleanType()), T.StructField("single", T.BooleanType()),
-            T.StructField("doc_id", kind), T.StructField("text_key", T.LongType()), T.StructField("first", T.IntegerType()),
-            T.StructField("around", T.BinaryType()),
+            T.StructField("doc_id", kind), T.StructField("text_key", T.LongType()), T.StructField("pos", T.IntegerType()),
+            T.StructField("left", T.IntegerType()), T.StructField("around", T.BinaryType()),
         ]
     )
     per_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("key", "large", "single", "pos")).alias("list"))
@@ -225,14 +243,52 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
-def strings_of(around: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All strings of WIDTH bytes in each surroundings: row, offset in it, hash."""
-    data, offsets = bytes_of(around.cast(pa.large_binary()).view(pa.large_utf8()))
-    counts = np.maximum(np.diff(offsets) - WIDTH + 1, 0)
-    row = np.repeat(np.arange(len(counts)), counts)
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = offsets[row] + inside
-    return row, inside, mixed(Rolling(data)(start, start + WIDTH))
+class Ranges:
+    """Ranges lo..hi of strings around anchors: rows of surroundings that begin ``left`` bytes before the anchor."""
+
+    def __init__(self, around: pa.Array, left: np.ndarray):
+        self.data, self.offsets = bytes_of(around.cast(pa.large_binary()).view(pa.large_utf8()))
+        self.left, self.right = left, np.diff(self.offsets) - left
+        self.roll = Rolling(self.data)
+
+    def cut(self, row: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        """Each range in up to FAN parts, as the range it comes from, row, lo and hi; a part without a string
+        inside the text is left out."""
+        size = (hi - lo) // FAN + 1
+        source = np.repeat(np.arange(len(row)), FAN)
+        row, low, high, size = (x[source] for x in (row, lo, hi, size))
+        low = low + size * np.tile(np.arange(FAN), len(lo))
+        high = np.minimum(high, low + size - 1)
+        good = (low <= high) & (low <= self.left[row]) & (WIDTH - high <= self.right[row])
+        return source[good], row[good], low[good], high[good]
+
+    def core(self, row, lo, hi) -> np.ndarray:
+        place = self.offsets[row] + self.left[row]
+        return mixed(self.roll(place - lo, place + WIDTH - hi) + mixed(lo.astype(np.uint64)))
+
+    def hull(self, row, lo, hi):
+        """Bytes before and after the anchor."""
+        return np.minimum(hi, self.left[row]), np.minimum(WIDTH - lo, self.right[row])
+
+    def hull_hash(self, row, lo, hi) -> np.ndarray:
+        before, after = self.hull(row, lo, hi)
+        place = self.offsets[row] + self.left[row]
+        return mixed(self.roll(place - before, place + after) + mixed((before * 1024 + after).astype(np.uint64)))
+
+
+def judged(same_core: np.ndarray, same_hull: np.ndarray, single: np.ndarray):
+    """For rows in order, from whether neighbours agree (one entry more than rows): found (the whole range
+    occurs elsewhere), going on (one row of a hull, if the core has others), and ``single`` as it is then."""
+    twice = same_hull[:-1] | same_hull[1:]
+    going = np.where(twice, ~same_hull[:-1], same_core[:-1] | same_core[1:])
+    return twice & single, going, single & ~twice
+
+
+def _borders(inner: np.ndarray, n: int) -> np.ndarray:
+    """From the n - 1 pairs of neighbours to all n + 1 borders."""
+    out = np.zeros(n + 1, bool)
+    out[1:n] = inner
+    return out
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
@@ -240,35 +296,28 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        row, inside, hashes = strings_of(pa.concat_arrays(table["around"].chunks))
-        first = table["first"].to_numpy()
-        names = [(d, t) for d, t in zip(table["doc_id"].to_pylist(), table["text_key"].to_pylist())]
-        number = {name: i for i, name in enumerate(dict.fromkeys(names))}
-        text = np.array([number[name] for name in names], np.int64)
-        start = first[row] + inside
-        # one string reached from two anchors of a text is one place
-        order = np.lexsort((start, text[row], hashes))
-        h, t, s = hashes[order], text[row][order], start[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1])
-        kinds = np.cumsum(np.append(True, h[1:] != h[:-1])) - 1 if len(h) else np.zeros(0, np.int64)
-        places = np.bincount(kinds, fresh)
-        single = table["single"].to_numpy(zero_copy_only=False)
-        good = np.zeros(len(row), bool)
-        good[order] = places[kinds] > 1 if len(h) else False
-        good &= single[row]
-        at = np.flatnonzero(good)
-        # runs of neighbouring starts in one row become one range
-        begin = np.ones(len(at), bool)
-        begin[1:] = (row[at][1:] != row[at][:-1]) | (inside[at][1:] != inside[at][:-1] + 1)
-        close = np.append(begin[1:], True) if len(at) else begin
-        a, b = at[begin], at[close]
+        ranges = Ranges(pa.concat_arrays(table["around"].chunks), table["left"].to_numpy().astype(np.int64))
+        row, single = np.arange(len(table)), table["single"].to_numpy(zero_copy_only=False)
+        lo, hi = np.zeros(len(table), np.int64), np.full(len(table), LEFT)
+        found = []
+        for _ in range(ROUNDS):
+            source, row, lo, hi = ranges.cut(row, lo, hi)
+            core, hull, single = ranges.core(row, lo, hi), ranges.hull_hash(row, lo, hi), single[source]
+            order = np.lexsort((row, hull, core))
+            row, lo, hi, core, hull, single = (x[order] for x in (row, lo, hi, core, hull, single))
+            same_core = _borders(core[1:] == core[:-1], len(row))
+            same_hull = same_core & _borders(hull[1:] == hull[:-1], len(row))
+            hit, going, single = judged(same_core, same_hull, single)
+            found.append((row[hit], *ranges.hull(row[hit], lo[hit], hi[hit])))
+            row, lo, hi, single = (x[going] for x in (row, lo, hi, single))
+        row, before, after = (np.concatenate(x) for x in zip(*found))
+        pos = table["pos"].to_numpy()[row]
         return pa.table(
             {
-                "doc_id": table["doc_id"].take(pa.array(row[a])),
-                "text_key": table["text_key"].take(pa.array(row[a])),
-                "start": pa.array(start[a].astype(np.int32)),
-                "end": pa.array((start[b] + WIDTH).astype(np.int32)),
+                "doc_id": table["doc_id"].take(pa.array(row)),
+                "text_key": table["text_key"].take(pa.array(row)),
+                "start": pa.array((pos - before).astype(np.int32)),
+                "end": pa.array((pos + after).astype(np.int32)),
             }
         )
 
@@ -284,27 +333,98 @@ def _spans_schema(rows: DataFrame) -> T.StructType:
     )
 
 
-def _repeated_large(rows: DataFrame) -> DataFrame:
-    """The same for keys of many surroundings: strings counted by hash over all tasks."""
+RANGE = ["core", "before", "around"]
+
+
+def _parts(rows: DataFrame, first: bool) -> DataFrame:
+    """Ranges of rows cut in parts, each with its core and the bytes of its hull, ``before`` of them before the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                row, inside, hashes = strings_of(part.column(3))
-                start = part.column(2).to_numpy()[row] + inside
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                before, lo, hi = (part.column(i).to_numpy().astype(np.int64) for i in (4, 6, 7))
+                ranges = Ranges(part.column(5), before)
+                row, place, low, high = ranges.cut(np.arange(len(before)), lo, hi)
+                a, b = ranges.hull(place, low, high)
+                middle = ranges.offsets[place] + before[place]
+                text = ranges.data.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(hashes.view(np.int64))],
-                    ["doc_id", "text_key", "start", "h"],
-                )
+                    [
+                        *[part.column(i).take(pa.array(row)) for i in range(4)],
+                        pa.array(a.astype(np.int32)),
+                        pa.array([text[x:y] for x, y in zip((middle - a).tolist(), (middle + b).tolist())], pa.binary()),
+                        pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+                        pa.array(ranges.core(place, low, high).view(np.int64)),
+                    ],
+                    names,
+                )
+
+    lo, hi = (F.lit(0), F.lit(LEFT)) if first else (F.col("lo"), F.col("hi"))
+    given = rows.select(
+        "doc_id", "text_key", "pos", "single", F.col("left" if first else "before").alias("before"), "around",
+        lo.cast("int").alias("lo"), hi.cast("int").alias("hi"),
+    )
+    names = [*given.columns, "core"]
+    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField("core", T.LongType())]))
+
+
+def _neighbours(parts: DataFrame) -> DataFrame:
+    """Rows of parts that matter, with found, going and single as in ``judged``, and whether a row is the first
+    or last of its task (edge) and has no neighbour of its hull there (alone)."""
 
-    kind = rows.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("text_key", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("h", T.LongType())])
-    strings = written(rows.select("doc_id", "text_key", "first", "around").mapInArrow(run, schema), "suffix-strings")
-    # a string that is at two places at least: places differ in text or start
-    place = F.struct(F.col("doc_id"), F.col("text_key"), F.col("start"))
-    twice = strings.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("h")
-    return strings.join(twice, "h").select("doc_id", "text_key", "start", (F.col("start") + WIDTH).alias("end"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, core_before, hull_before, fresh = None, False, False, True
+
+        def made(rows: pa.Table, core: np.ndarray, hull: np.ndarray, edge: np.ndarray) -> list[pa.RecordBatch]:
+            found, going, single = judged(core, hull, rows["single"].to_numpy())
+            alone = ~(hull[:-1] | hull[1:])
+            going |= edge & alone
+            keep = pa.array(found | going | edge)
+            rows = rows.set_column(rows.column_names.index("single"), "single", pa.array(single))
+            for name, flags in (("found", found), ("going", going), ("edge", edge), ("alone", alone)):
+                rows = rows.append_column(name, pa.array(flags))
+            return rows.filter(keep).combine_chunks().to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = (pa.concat_tables([held, table]) if held is not None else table).combine_chunks()
+            core, left, around = (pa.concat_arrays(table[c].chunks) for c in RANGE)
+            inner = pc.equal(core[1:], core[:-1]).to_numpy(zero_copy_only=False)
+            whole = inner & (pc.equal(left[1:], left[:-1]).to_numpy(zero_copy_only=False))
+            whole &= pc.equal(around[1:], around[:-1]).to_numpy(zero_copy_only=False)
+            # the last row waits for the next batch
+            n = len(table) - 1
+            core, hull = np.append(core_before, inner), np.append(hull_before, whole)
+            edge = np.zeros(n, bool)
+            if n:
+                edge[0], fresh = fresh, False
+                yield from made(table.slice(0, n), core, hull, edge)
+            held, core_before, hull_before = table.slice(n), core[-1], hull[-1]
+        if held is not None:
+            yield from made(held, np.array([core_before, False]), np.array([hull_before, False]), np.array([True]))
+
+    flags = [T.StructField(c, T.BooleanType()) for c in ("found", "going", "edge", "alone")]
+    keys = [*RANGE, F.xxhash64("doc_id", "text_key", "pos")]
+    return parts.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, T.StructType([*parts.schema.fields, *flags]))
+
+
+def _repeated_large(rows: DataFrame) -> list[DataFrame]:
+    """The same for heads of many surroundings: ordered over all tasks, one table for each round."""
+    found = []
+    for k in range(ROUNDS):
+        near = written(_neighbours(_parts(rows, k == 0)), "suffix-ranges")
+        # two rows of each task at most: those of one hull are neighbours across a border
+        edges = near.filter("edge").withColumn("twice", F.count(F.lit(1)).over(Window.partitionBy(*RANGE)) > 1)
+        edges = edges.withColumn("found", F.col("found") | (F.col("alone") & F.col("twice") & F.col("single")))
+        edges = edges.withColumn("single", F.col("single") & ~F.col("twice")).drop("twice")
+        settled = near.filter("not edge").unionByName(edges)
+        start = F.col("pos") - F.col("before")
+        found.append(settled.filter("found").select("doc_id", "text_key", start.alias("start"), (start + F.octet_length("around")).cast("int").alias("end")))
+        rows = settled.filter("going")
+    return found
 
 
 def spans(docs: DataFrame, batches: int = BATCHES, large: int = LARGE) -> DataFrame:
@@ -323,12 +443,12 @@ def spans(docs: DataFrame, batches: int = BATCHES, large: int = LARGE) -> DataFr
         "suffix-classes",
     )
     shared = classes.filter("n > 1").select("key", "around")
-    settled = hits.join(shared, ["key", "around"]).select(
+    settled = hits.join(shared.hint("merge"), ["key", "around"]).select(
         "doc_id", "text_key", F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + WIDTH).alias("end")
     )
     several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
     wanted = written(
-        classes.join(several, "key").select(
+        classes.join(several.hint("merge"), "key").select(
             "key", (F.col("kinds") > large).alias("large"), (F.col("n") == 1).alias("single"), "one.doc_id", "one.text_key", "one.pos"
         ),
         "suffix-wanted",
@@ -340,7 +460,8 @@ def spans(docs: DataFrame, batches: int = BATCHES, large: int = LARGE) -> DataFr
     small = fetched.filter("not large").withColumn("piece", F.pmod("key", F.lit(pieces)))
     ranges = settled.unionByName(_repeated(small))
     if counts.get(True):
-        ranges = ranges.unionByName(_repeated_large(fetched.filter("large")))
+        for more in _repeated_large(fetched.filter("large")):
+            ranges = ranges.unionByName(more)
     copies = copied(plain)
     return written(
         ranges.unionByName(copies).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans")),
@@ -356,7 +477,7 @@ def copied(docs: DataFrame) -> DataFrame:
     rows = written(rows, "suffix-texts")
     key = ["text_key", "second", "end"]
     twice = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return rows.join(twice, key).select("doc_id", "text_key", F.lit(0).alias("start"), "end")
+    return rows.join(twice.hint("merge"), key).select("doc_id", "text_key", F.lit(0).alias("start"), "end")
 
 
 def without_repeats(docs: DataFrame, found: DataFrame) -> DataFrame:

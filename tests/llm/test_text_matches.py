@@ -89,7 +89,9 @@ def test_suffix_dedup_matches_brute_force(spark, large):
     passage = prose(9, 3)
     rows = [(10 + i, prose(40 + i, 3) + passage[: 190 + 2 * i] + prose(70 + i, 2)) for i in range(12)]
     rows += [(50, passage + " " + passage), (51, "x" * 950), (52, changed(prose(41, 3), 1, 2))] + odd_rows()
-    docs = frame(spark, rows)
+    # one passage in many surroundings, cut at both ends and with changed words
+    rows += [(100 + i, prose(200 + i, 2) + changed(passage, i, i % 3)[i % 50 : 900 - i] + prose(300 + i, 2)) for i in range(60)]
+    docs = frame(spark, rows).withColumn("key", F.lit(0)).withColumn("single", F.lit(0))
     found = suffix.without_repeats(docs, suffix.spans(docs, 4, large)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)
     )

@@ -7,8 +7,9 @@ weights.
 
 Labels are learned from at most ``max_rows`` labelled rows (a fixed bound of this operator): all of them,
 or where there are more, those whose hash of doc_id falls into the share that gives nine tenths of it. Their features are stored in
-a table and dealt over ``SHARDS`` tasks once; each makes ``EPOCHS`` passes over its shard in a fixed order,
-and the model is the mean of their states, which have the fixed size of the hash table.
+a table and stream ``EPOCHS`` times in a fixed order through one task, whose state has the fixed size of the
+hash table: evidence adds up over all rows, and the model does not depend on how the rows are dealt. The rates
+below were chosen by log loss and recall on every fourth training row, with the others to learn from.
 Scoring reads every document once and shuffles nothing.
 
 Defined cases: null or empty text has the bias as its only feature. A label that is null or neither 0
@@ -18,6 +19,8 @@ doc_id get the same label. Without labels every score is 0.5. An empty table giv
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,9 +33,8 @@ from sublens.llm.scratch import written
 BITS = 20
 SIZE = 1 << BITS
 MAX_ROWS = 20_000
-SHARDS = 4
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 6.0, 1.0
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 20.0, 0.1
 _SALTS = [np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _TOP = np.uint64(64 - BITS)
 
@@ -100,7 +102,7 @@ class State:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int) -> DataFrame:
-    """shard, place, label, features of the rows to learn from."""
+    """place, doc_id, label, features of the rows to learn from."""
     rows = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -118,32 +120,28 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int) -
     return written(feature_lists(texts, ["doc_id", "label", "place"]), "toxicity-features")
 
 
-def _shard(table: pa.Table) -> pa.Table:
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     state = State()
-    table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
-    lists = pa.concat_arrays(table["features"].chunks)
-    flat, offsets, labels = lists.values.to_numpy(), lists.offsets.to_numpy(), table["label"].to_pylist()
-    for _ in range(EPOCHS):
-        for a, b, label in zip(offsets[:-1], offsets[1:], labels):
+    for batch in batches:
+        lists = batch.column(0)
+        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for a, b, label in zip(offsets[:-1], offsets[1:], batch.column(1).to_pylist()):
             state.learn(flat[a:b], label)
-    pack = lambda x: pa.array([x.astype(np.float32).tobytes()], pa.binary())
-    return pa.table({"shard": pa.array([table["shard"][0].as_py()], pa.int32()), "z": pack(state.z), "n": pack(state.n)})
+    bias, at, w = state.model()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.append(at, SIZE).astype(np.int32)), pa.array(np.append(w, bias))], ["bucket", "weight"]
+    )
 
 
-def trained(rows: DataFrame) -> State:
-    """Mean state of the shards."""
-    dealt = rows.select(
-        F.pmod("place", F.lit(SHARDS)).cast("int").alias("shard"), "place", "doc_id", "label", "features"
-    )
-    states = dealt.groupBy("shard").applyInArrow(_shard, "shard int, z binary, n binary").orderBy("shard")
-    mean, shards = State(), 0
-    # SHARDS rows of fixed size
-    for row in states.toLocalIterator():
-        mean.z += np.frombuffer(row["z"], np.float32)
-        mean.n += np.frombuffer(row["n"], np.float32)
-        shards += 1
-    mean.z, mean.n = mean.z / max(1, shards), mean.n / max(1, shards)
-    return mean
+def trained(rows: DataFrame) -> tuple[float, np.ndarray, np.ndarray]:
+    """Bias, and buckets with their weights: at most max_rows rows, read in order as a stream, EPOCHS times."""
+    passes = rows.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS)))).repartition(1)
+    ordered = passes.sortWithinPartitions("epoch", "place", "doc_id").select("features", "label")
+    weights = ordered.mapInArrow(_learned, "bucket int, weight double").toArrow()
+    at, w = weights["bucket"].to_numpy(), weights["weight"].to_numpy()
+    if not len(at):
+        return 0.0, at, w
+    return float(w[-1]), at[:-1], w[:-1]
 
 
 def scored(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
@@ -171,7 +169,7 @@ def scored(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], keep: l
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, learn: Column, max_rows: int = MAX_ROWS):
-    return trained(labelled(docs, labels, learn, max_rows)).model()
+    return trained(labelled(docs, labels, learn, max_rows))
 
 
 def held_out() -> Column:

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sublens.llm import langid, maxent, pii, toxicity
@@ -221,3 +222,30 @@ def test_empty_tables(spark):
     for run in (maxent.digest, langid.digest, pii.digest, lambda d: toxicity.digest(d, labels)):
         assert run(empty).count() == 0
     assert {r["score"] for r in toxicity.digest(frame(spark, odd_rows()), labels).collect()} == {0.5}
+
+
+def test_toxicity_model_is_plain_ftrl(spark):
+    rows = [(i, prose(i, 2) + (" vile scum of the road" if i % 3 == 0 else ""), "en", "s") for i in range(40)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id bigint, toxic int")
+    given = toxicity.labelled(frame(spark, rows), labels, F.lit(True), 100)
+    bias, at, w = toxicity.trained(given)
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0 if i == "bias" else toxicity.L1
+        if abs(z.get(i, 0)) <= l1:
+            return 0.0
+        signed = l1 if z[i] > 0 else -l1
+        return -(z[i] - signed) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for row in sorted(given.collect(), key=lambda r: (r.place, r.doc_id)):
+            names = [*row.features, "bias"]
+            weights = [weight(i) for i in names]
+            g = 1 / (1 + 2.718281828459045 ** -sum(weights)) - row.label
+            for i, x in zip(names, weights):
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - old**0.5) / toxicity.ALPHA * x
+    want = {i: weight(i) for i in z if i != "bias" and weight(i)}
+    assert want and {int(i): x for i, x in zip(at, w)} == pytest.approx(want) and bias == pytest.approx(weight("bias"))

@@ -7,9 +7,10 @@ About one byte in eighty is an anchor.
 
 Each batch of documents gets a sparse suffix array: its anchors in the byte order of their first GRAM
 bytes, within buckets. The batch is merge-scanned against every existing level, an ordered list of
-distinct heads of suffixes, for heads that occur in both; then it becomes a level itself, and levels that
-stand for equally many batches merge. So n batches keep about log n levels, and a head is rewritten about
-log n times. All tables are bucketed and ordered alike, and scans need no shuffle.
+heads of suffixes, for heads that occur in both; then it becomes a level itself, and levels that
+stand for equally many batches merge before the next batch comes. So n batches keep about log n levels, and a
+head is rewritten about log n times. All tables are bucketed and ordered alike, and scans and merges need no
+shuffle.
 
 Anchors that share their head are extended to both sides. A string of WIDTH bytes around an anchor is told
 by the number of its bytes before the anchor, 0 to LEFT. For a range of these numbers, the *core* is what
@@ -112,8 +113,8 @@ def heads(data: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
 
 
-def suffixes(docs: DataFrame) -> DataFrame:
-    """head, around, doc_id, text_key, pos of each anchor. A text the task has just met is passed over."""
+def suffixes(docs: DataFrame, batches: int = 1) -> DataFrame:
+    """head, around, doc_id, text_key, pos, batch of each anchor. A text the task has just met is passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -142,59 +143,66 @@ def suffixes(docs: DataFrame) -> DataFrame:
                         part.column(0).take(pa.array(row)),
                         part.column(1).take(pa.array(row)),
                         pa.array((at - offsets[row]).astype(np.int32)),
+                        part.column(3).take(pa.array(row)),
                     ],
-                    ["head", "around", "doc_id", "text_key", "pos"],
+                    ["head", "around", "doc_id", "text_key", "pos", "batch"],
                 )
 
     kind = docs.schema["doc_id"].dataType
-    fields = [("head", T.BinaryType()), ("around", T.LongType()), ("doc_id", kind), ("text_key", T.LongType()), ("pos", T.IntegerType())]
-    rows = docs.filter(F.octet_length("text") >= WIDTH).select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+    fields = [("head", T.BinaryType()), ("around", T.LongType()), ("doc_id", kind), ("text_key", T.LongType()), ("pos", T.IntegerType()), ("batch", T.IntegerType())]
+    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch")
+    rows = docs.filter(F.octet_length("text") >= WIDTH).select("doc_id", text_key(F.col("text")).alias("text_key"), "text", batch)
     return rows.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
 
 
 class SuffixIndex:
-    """The index family. ``add`` takes a batch; ``matched`` then holds all suffixes whose head occurs twice."""
+    """The index family. ``add`` takes batches; ``matched`` then holds all suffixes whose head occurs twice."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.buckets = spark, int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables: list[str] = []
-        self.batches: list[DataFrame] = []
+        self.arrays: list[DataFrame] = []
         self.levels: list[tuple[int, DataFrame]] = []
         self.found: list[DataFrame] = []
 
-    def _stored(self, df: DataFrame, dealt: bool = False) -> DataFrame:
-        """A table bucketed, and in the byte order of the heads."""
+    def _stored(self, df: DataFrame, *split: str) -> DataFrame:
+        """A table bucketed, and in the byte order of the heads; ``df`` is dealt by head already."""
         name = f"suffix_{uuid.uuid4().hex}"
-        rows = df if dealt else df.repartition(self.buckets, "head")
-        rows.write.option("path", f"{folder(self.spark)}/{name}").bucketBy(self.buckets, "head").sortBy("head").saveAsTable(name)
+        rows = df.write.option("path", f"{folder(self.spark)}/{name}").bucketBy(self.buckets, "head").sortBy("head")
+        (rows.partitionBy(*split) if split else rows).saveAsTable(name)
         self.tables.append(name)
         return self.spark.table(name)
 
-    def add(self, docs: DataFrame) -> None:
-        array = self._stored(suffixes(docs))
-        self.batches.append(array)
-        counts = array.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-        self.found.append(written(counts.filter("n > 1").select("head"), "suffix-matched"))
-        known = self._stored(array.select("head").distinct(), dealt=True)
+    def add(self, docs: DataFrame, batches: int = 1) -> None:
+        """Store the suffix arrays of ``batches`` batches in one pass over ``docs``, and take them in one by one."""
+        rows = suffixes(docs, batches).repartition(self.buckets, "head")
+        arrays = self._stored(rows, "batch")
+        self.arrays.append(arrays)
+        for k in range(batches):
+            self._take(arrays.filter(F.col("batch") == k).select("head"))
+
+    def _take(self, own: DataFrame) -> None:
+        """Merge-scan a batch against every level; its own array is the lowest level from then on.
+
+        Levels of equal size merge when the next batch comes. The scans are parts of one plan that runs in ``matched``.
+        """
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (size, last), (_, before) = self.levels.pop(), self.levels.pop()
+            self.levels.append((2 * size, self._stored(before.unionByName(last).distinct())))
+        self.found.append(own.groupBy("head").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("head"))
         for _, level in self.levels:
-            self.found.append(written(known.join(level.hint("merge"), "head"), "suffix-matched"))
-        size = 1
-        while self.levels and self.levels[-1][0] == size:
-            _, level = self.levels.pop()
-            known, size = self._stored(known.unionByName(level).distinct()), 2 * size
-        self.levels.append((size, known))
+            self.found.append(own.join(level.hint("merge"), "head", "left_semi"))
+        self.levels.append((1, own))
 
     def matched(self) -> DataFrame:
         """key (hash of the head), around, doc_id, text_key, pos of all suffixes whose head occurs twice, in any batch."""
-        known = self.found[0]
+        known, rows = self.found[0], self.arrays[0]
         for more in self.found[1:]:
             known = known.unionByName(more)
-        known = self._stored(known.distinct())
-        hits = [array.join(known.hint("merge"), "head") for array in self.batches]
-        out = hits[0]
-        for more in hits[1:]:
-            out = out.unionByName(more)
-        return out.select(F.xxhash64("head").alias("key"), "around", "doc_id", "text_key", "pos")
+        for more in self.arrays[1:]:
+            rows = rows.unionByName(more)
+        hits = rows.join(known.distinct().hint("merge"), "head")
+        return hits.select(F.xxhash64("head").alias("key"), "around", "doc_id", "text_key", "pos")
 
     def close(self) -> None:
         """Drop the tables and their files."""
@@ -415,7 +423,8 @@ def _repeated_large(rows: DataFrame) -> list[DataFrame]:
     """The same for heads of many surroundings: ordered over all tasks, one table for each round."""
     found = []
     for k in range(ROUNDS):
-        near = written(_neighbours(_parts(rows, k == 0)), "suffix-ranges")
+        # stored, as finding the borders of the ranges reads them once more
+        near = written(_neighbours(written(_parts(rows, k == 0), "suffix-parts")), "suffix-ranges")
         # two rows of each task at most: those of one hull are neighbours across a border
         edges = near.filter("edge").withColumn("twice", F.count(F.lit(1)).over(Window.partitionBy(*RANGE)) > 1)
         edges = edges.withColumn("found", F.col("found") | (F.col("alone") & F.col("twice") & F.col("single")))
@@ -432,8 +441,7 @@ def spans(docs: DataFrame, batches: int = BATCHES, large: int = LARGE) -> DataFr
     spark = docs.sparkSession
     plain = docs.select("doc_id", "text")
     index = SuffixIndex(spark)
-    for k in range(batches):
-        index.add(plain.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == k))
+    index.add(plain, batches)
     hits = written(index.matched(), "suffix-hits")
     index.close()
     classes = written(

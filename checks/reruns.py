@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from datetime import timedelta
 
-from checks import lines, money, platform
+from checks import engage, lines, money, platform
 from checks.binding import (
+    EVENTS_BINDINGS,
     EVENTS_L,
     ORDERS_BINDINGS,
     ORDERS_L,
@@ -16,10 +17,11 @@ from checks.binding import (
     orders_tables,
     usage_tables,
 )
-from sublens.plans import booster, customer_base, disconnection, payments, usage
+from sublens.plans import booster, customer_base, disconnection, engagement, payments, usage
 from sublens.sources.folders import shared_folder
 
 LOAD_DATES = [ORDERS_L - timedelta(days=n) for n in range(30)]
+EVENT_LOAD_DATES = [EVENTS_L - timedelta(days=n) for n in range(30)]
 CARRIED_DAYS = 3
 
 
@@ -58,6 +60,19 @@ def block_pairing_day_by_day(spark, sf_dir: str):
     return disconnection.shown_until_load_date(pairs, EVENTS_L)
 
 
+def countries_day_by_day(spark, sf_dir: str):
+    """Countries visited up to L from stored days, of which the last ones were taken in one at a time."""
+    tables = events_tables(spark, sf_dir)
+    state = engagement.network_state(spark, f"{shared_folder(spark)}/network-state-{uuid.uuid4().hex}")
+    day = EVENTS_L - timedelta(days=CARRIED_DAYS)
+    engagement.store_networks(tables, state, min(start for start, _ in engagement.roaming_windows(day).values()), day)
+    while day < EVENTS_L:
+        following = day + timedelta(days=1)
+        engagement.store_networks(tables, state, day, following)
+        day = following
+    return engagement.countries_from(tables, state, EVENTS_L)
+
+
 QUERIES = {
     "payment_reruns": lambda spark, sf_dir: payments.payments_over_dates(orders_tables(spark, sf_dir), LOAD_DATES),
     "recharge_reruns": lambda spark, sf_dir: payments.wallet_recharges_over_dates(
@@ -70,6 +85,10 @@ QUERIES = {
     "usage_day_by_day": usage_day_by_day,
     "latest_block_day_by_day": latest_block_day_by_day,
     "block_pairing_day_by_day": block_pairing_day_by_day,
+    "countries_reruns": lambda spark, sf_dir: engagement.countries_over_dates(
+        events_tables(spark, sf_dir), EVENT_LOAD_DATES
+    ),
+    "countries_day_by_day": countries_day_by_day,
 }
 
 # Every load date L with the first day of the month of L - 1 (m0) and of its own month (u0). Each oracle sums the
@@ -192,6 +211,24 @@ def _boosters_sql() -> str:
     return f"{_DATES},{sql}"
 
 
+def _countries_sql(first: str, behind: str) -> str:
+    counts = ",\n  ".join(
+        f"count(distinct country) filter (seen_on >= cast(L - 1 - interval {n} month as date)) as RLH_UNIQUE_COUNTRY_{n}M"
+        for n in (1, 3, 6)
+    )
+    # All messages; the load dates cut them to their own windows.
+    window = "and m.DATETIME::date >= date '2023-07-24' and m.DATETIME::date < date '2024-01-25'"
+    assert window in engage._MESSAGES
+    seen = engage._MESSAGES.replace(window, "").split("moves as")[0].rstrip().rstrip(",")
+    return f"""
+load_dates as (select cast(d as date) as L from range(timestamp '{first}', timestamp '{behind}', interval 1 day) as r(d)),
+{seen}
+select L as load_date, MSISDN, {counts}
+from messages join load_dates on seen_on >= cast(L - 1 - interval 6 month as date) and seen_on < L
+where country <> 'Uae' group by L, MSISDN"""
+
+
+_MESSAGE_TABLES = "roaming_ussd_received_data dim_roam_country_operator"
 _VOUCHER_TABLES = "nobill_fact_adjustment nobill_dim_adjustment_type"
 ORACLES = {
     "payment_reruns": oracle_with(ORDERS_BINDINGS, money._PAYMENT_TABLES, _payments_sql()),
@@ -201,4 +238,10 @@ ORACLES = {
     "usage_day_by_day": money.ORACLES["usage_windows"],
     "latest_block_day_by_day": lines.ORACLES["latest_block"],
     "block_pairing_day_by_day": lines.ORACLES["block_pairing"],
+    "countries_reruns": oracle_with(EVENTS_BINDINGS, _MESSAGE_TABLES, _countries_sql("2023-12-27", "2024-01-26")),
+    "countries_day_by_day": oracle_with(
+        EVENTS_BINDINGS,
+        _MESSAGE_TABLES,
+        _countries_sql("2024-01-25", "2024-01-26").replace("select L as load_date, MSISDN", "select MSISDN"),
+    ),
 }

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Sequence
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sublens.functions.helpers import as_double, flag
 from sublens.load_date import LoadDate, within, within_closed
+from sublens.operators.daily_sets import DailySets, distinct_over_dates
 from sublens.operators.latest import collapse, first_per_key
 from sublens.operators.ordered import previous_in_order
+from sublens.operators.rolling import DateList, Span
 
 # Fixed values.
 HOME_MCC = 424
@@ -31,18 +34,27 @@ def _countries(tables) -> DataFrame:
     return collapse(tables["dim_roam_country_operator"], "MCC", country="country")
 
 
-def visited_countries(tables, load_date) -> DataFrame:
-    """Network messages of the last six months with the country they came from."""
-    day = LoadDate.of(load_date)
-    messages = tables["roaming_ussd_received_data"].where(
-        within(F.to_date("DATETIME"), day.months_back(6, day.previous), day.day)
+def network_messages(tables, start: date, end: date) -> DataFrame:
+    """Messages of ``[start, end)`` from networks that are no test networks."""
+    return tables["roaming_ussd_received_data"].where(
+        within(F.to_date("DATETIME"), start, end)
         & F.col("MCC").rlike("[0-9]")
         & ~F.col("MCC").isin(TEST_NETWORKS)
     )
+
+
+def _country() -> Column:
+    """The country of a network that was looked up in ``_countries``."""
     home = F.col("MCC").try_cast("int") == HOME_MCC
-    country = F.when(home, HOME_COUNTRY).otherwise(F.coalesce("country", F.lit(UNKNOWN_COUNTRY)))
+    return F.when(home, HOME_COUNTRY).otherwise(F.coalesce("country", F.lit(UNKNOWN_COUNTRY)))
+
+
+def visited_countries(tables, load_date) -> DataFrame:
+    """Network messages of the last six months with the country they came from."""
+    day = LoadDate.of(load_date)
+    messages = network_messages(tables, day.months_back(6, day.previous), day.day)
     return messages.join(_countries(tables), "MCC", "left").select(
-        "ID", "MSISDN", F.to_date("DATETIME").alias("seen_on"), country.alias("country")
+        "ID", "MSISDN", F.to_date("DATETIME").alias("seen_on"), _country().alias("country")
     )
 
 
@@ -102,6 +114,61 @@ def roaming_trips(tables, load_date, id_block: int = ID_BLOCK) -> DataFrame:
     )
 
 
+def roaming_windows(load_date) -> dict[str, Span]:
+    """Half-open windows of 1, 3 and 6 months up to L - 1."""
+    day = LoadDate.of(load_date)
+    return {f"{months}M": (day.months_back(months, day.previous), day.day) for months in (1, 3, 6)}
+
+
+def _abroad(messages: DataFrame, tables) -> DataFrame:
+    """Rows with a network, and its country, that were not sent from home."""
+    known = messages.join(_countries(tables), "MCC", "left").withColumn("country", _country())
+    return known.where(F.col("country") != HOME_COUNTRY)
+
+
+def _country_counts(counts: DataFrame, *columns: str) -> DataFrame:
+    named = [F.col(f"n_{w}").cast("long").alias(f"RLH_UNIQUE_COUNTRY_{w}") for w in ("1M", "3M", "6M")]
+    return counts.select(*columns, "MSISDN", *named)
+
+
+def countries_over_dates(tables, load_dates: Sequence) -> DataFrame:
+    """Countries abroad a subscriber was seen in within 1, 3 and 6 months, for several load dates from one scan.
+
+    Every stay abroad begins with a trip, so those of 6 months are the countries that ``roaming_trips`` counts.
+    """
+    dates = DateList([LoadDate.of(d).day for d in load_dates], roaming_windows)
+    # One row per subscriber, network and day before the names are looked up.
+    messages = network_messages(tables, *dates.scan)
+    days = messages.select("MSISDN", "MCC", F.to_date("DATETIME").alias("seen_on")).distinct()
+    return _country_counts(
+        distinct_over_dates(_abroad(days, tables), ["MSISDN"], "country", "seen_on", dates), "load_date"
+    )
+
+
+def network_state(spark: SparkSession, folder: str) -> DailySets:
+    """The networks a subscriber was seen in, per day.
+
+    Networks and not countries are kept: a run of a load date names all its networks by the list of that day.
+    """
+    return DailySets(spark, folder, ["MSISDN"], "MCC", roaming_windows)
+
+
+def store_networks(tables, state: DailySets, start: date, end: date) -> None:
+    """Take in the days ``[start, end)`` of the messages, or take them in anew after late rows."""
+    seen = network_messages(tables, start, end).select("MSISDN", "MCC", F.to_date("DATETIME").alias("seen_on"))
+    state.store_days(seen, "seen_on", [start + timedelta(days=n) for n in range((end - start).days)])
+
+
+def countries_from(tables, state: DailySets, load_date) -> DataFrame:
+    """``countries_over_dates`` of one load date from the stored days, without the messages."""
+    abroad = _abroad(state.members(LoadDate.of(load_date).day).withColumnRenamed("value", "MCC"), tables)
+    windows = list(roaming_windows(load_date))
+    # A country may have several networks.
+    per_country = abroad.groupBy("MSISDN", "country").agg(*[F.max(f"in_{w}").alias(f"in_{w}") for w in windows])
+    counts = per_country.groupBy("MSISDN").agg(*[F.sum(flag(F.col(f"in_{w}"))).alias(f"n_{w}") for w in windows])
+    return _country_counts(counts)
+
+
 def data_sharing(tables, load_date, since: date = SHARING_SINCE) -> DataFrame:
     """The donation on the longest-running plan of an account and what may still be shared of it."""
     donations = tables.history("po_sre_actionhistory", load_date).where(

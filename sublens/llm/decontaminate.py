@@ -7,7 +7,11 @@ counts. Documents are never shuffled.
 
 The broadcast is bounded: items are dealt into blocks of about ``block_bytes`` of text by their
 measured total. One block is the rule, and then one scan does all; with more, the documents are scanned
-once per block, and only hits are stored and put together by document.
+once per block, and only hits are stored and put together by document. The driver holds one block at a
+time: a block's broadcast is removed once its hits are stored, before the next block is read.
+
+A window that many items share is held once, with the list of its items. A document meets that list once for
+each distinct window, however often the window occurs in it.
 
 Defined cases: null text has no words, is not hit and not contaminated. A null item text has no
 windows; an item without id marks words but adds no name to the list. Repeated items count once,
@@ -36,7 +40,11 @@ _FILTER_BITS = 20
 
 
 class ItemWindows:
-    """Windows of a block of benchmark items, per window length sorted by hash."""
+    """Distinct windows of a block of benchmark items, per window length sorted by hash, each with its items.
+
+    ``by_length`` holds for each length the hashes, a place of each window in the items' words, the bounds of
+    its items in the list that follows, that list, and a filter of the hashes' leading bits.
+    """
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int = WINDOW):
         self.ids = [item for item, _ in items]
@@ -50,13 +58,37 @@ class ItemWindows:
             item = np.repeat(owners, counts[owners] - length + 1)
             keys = windows(hashes, length)[at]
             order = np.argsort(keys, kind="stable")
+            keys, at, item = keys[order], at[order], item[order]
+            first = np.concatenate([[True], keys[1:] != keys[:-1]])
+            self._part_by_words(first, at, item, length)
+            begins = np.flatnonzero(first)
             seen = np.zeros(1 << _FILTER_BITS, bool)
             seen[keys >> np.uint64(64 - _FILTER_BITS)] = True
-            self.by_length[length] = (keys[order], at[order], item[order], seen)
+            self.by_length[length] = (keys[begins], at[begins], np.append(begins, len(keys)), item, seen)
+
+    def _part_by_words(self, first: np.ndarray, at: np.ndarray, item: np.ndarray, length: int) -> None:
+        """Where windows of one hash differ in their words, put equal ones side by side and mark where each begins."""
+        begins = np.flatnonzero(first)
+        ends = np.append(begins[1:], len(first))
+        for a, b in zip(begins[ends - begins > 1].tolist(), ends[ends - begins > 1].tolist()):
+            found = [self.text(place, length) for place in at[a:b].tolist()]
+            if all(words == found[0] for words in found):
+                continue
+            order = sorted(range(b - a), key=found.__getitem__)
+            at[a:b], item[a:b] = at[a:b][order], item[a:b][order]
+            first[a + 1 : b] = [found[y] != found[x] for x, y in zip(order, order[1:])]
 
     def text(self, at: int, length: int) -> list[bytes]:
         return [self.data[a:b].tobytes() for a, b in zip(self.start[at : at + length], self.end[at : at + length])]
 
+    def names(self, found: set[tuple[int, int]]) -> set[str]:
+        """Ids of the items that hold any of some windows, given as length and number."""
+        items: set[int] = set()
+        for length, k in found:
+            _, _, bounds, item, _ = self.by_length[length]
+            items.update(item[bounds[k] : bounds[k + 1]].tolist())
+        return {self.ids[i] for i in items if self.ids[i] is not None}
+
 
 def _scanner(block: ItemWindows):
     def scan(texts: pa.Array) -> list:
@@ -64,14 +96,16 @@ def _scanner(block: ItemWindows):
         hashes, room = words.hashes(), words.room()
         n = len(hashes)
         covered = np.zeros(n + 1, np.int32)
-        named: dict[int, set[str]] = {}
-        for length, (keys, at, item, seen) in block.by_length.items():
+        met: dict[int, set[tuple[int, int]]] = {}
+        for length, (keys, at, _, _, seen) in block.by_length.items():
             rolled = windows(hashes, length)
             hits = np.flatnonzero(seen[rolled >> np.uint64(64 - _FILTER_BITS)])
             hits = hits[room[hits] >= length]
             low, high = np.searchsorted(keys, rolled[hits], "left"), np.searchsorted(keys, rolled[hits], "right")
+            hits, low, high = hits[high > low], low[high > low], high[high > low]
+            docs = np.searchsorted(words.first, hits, "right") - 1
             own: dict[int, list[bytes]] = {}
-            for i, a, b in zip(hits[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()):
+            for i, doc, a, b in zip(hits.tolist(), docs.tolist(), low.tolist(), high.tolist()):
                 text = [words.data[s:e].tobytes() for s, e in zip(words.start[i : i + length], words.end[i : i + length])]
                 for k in range(a, b):
                     if k not in own:
@@ -79,9 +113,9 @@ def _scanner(block: ItemWindows):
                     if own[k] == text:
                         covered[i] += 1
                         covered[i + length] -= 1
-                        doc = int(np.searchsorted(words.first, i, "right")) - 1
-                        name = block.ids[item[k]]
-                        named.setdefault(doc, set()).update([] if name is None else [name])
+                        met.setdefault(doc, set()).add((length, k))
+                        break
+        named = {doc: block.names(found) for doc, found in met.items()}
         runs: list[list] = [[] for _ in range(len(texts))]
         if named:
             inside = np.cumsum(covered[:-1]) > 0
@@ -94,39 +128,45 @@ def _scanner(block: ItemWindows):
     return scan
 
 
-def blocks(benchmark: DataFrame, n: int = WINDOW, block_bytes: int = BLOCK_BYTES):
-    """The benchmark's windows, a bounded block of items at a time."""
+def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
+    """The benchmark's items, dealt into tables of about ``block_bytes`` of text; none if there is no text."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes)
-    for k in range(count):
-        dealt = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        yield ItemWindows([tuple(row) for row in dealt.distinct().toLocalIterator()], n)
+    dealt = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    return [items.filter(dealt == k).distinct() for k in range(count)]
+
+
+def shared_windows(docs: DataFrame, items: DataFrame | None, n: int):
+    """The windows of one block as a broadcast."""
+    rows = [tuple(row) for row in items.toLocalIterator()] if items is not None else []
+    return docs.sparkSession.sparkContext.broadcast(ItemWindows(rows, n))
 
 
-def scanned(docs: DataFrame, block: ItemWindows, keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+def scanned(docs: DataFrame, shared, keep: list[str]) -> DataFrame:
     return mapped(docs, FOUND, lambda: _scanner(shared.value), keep)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Columns ``keep`` of docs, with n_words, n_hit and the sorted ids of the items that occur."""
-    each = list(blocks(benchmark, n, block_bytes))
+    each = blocks(benchmark, block_bytes)
     if len(each) <= 1:
-        found = scanned(docs, each[0] if each else ItemWindows([], n), keep)
+        found = scanned(docs, shared_windows(docs, each[0] if each else None, n), keep)
     else:
         keyed = docs.withColumn("text_key", text_key(F.col("text")))
-        own = [
-            scanned(keyed, block, ["doc_id", "text_key"]).filter(F.size("runs") > 0).distinct() for block in each
-        ]
-        parts = written(own[0], "decontaminate-hits")
-        for more in own[1:]:
-            parts = parts.unionByName(written(more, "decontaminate-hits"))
+        parts = None
+        for items in each:
+            shared = shared_windows(docs, items, n)
+            own = scanned(keyed, shared, ["doc_id", "text_key"]).filter(F.size("runs") > 0).distinct()
+            stored = written(own, "decontaminate-hits")
+            # nothing reads this block again
+            shared.destroy()
+            parts = stored if parts is None else parts.unionByName(stored)
         # at most one row per block and document
         joined = parts.groupBy("doc_id", "text_key").agg(
             F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items")
         )
-        counted = scanned(keyed, ItemWindows([], n), [*keep, *[c for c in ("doc_id", "text_key") if c not in keep]])
+        counted = scanned(keyed, shared_windows(docs, None, n), [*keep, *[c for c in ("doc_id", "text_key") if c not in keep]])
         found = counted.drop("runs", "items").join(joined, same_row(counted, joined), "left").select(
             *[counted[c] for c in keep],
             "n_words",

@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +133,36 @@ def test_decontamination_matches_brute_force(spark, block_bytes):
     assert Counter(tuple(r) for r in found.collect()) == contamination(rows, items)
 
 
+def test_windows_of_many_items_are_held_once_and_told_apart_by_their_words(monkeypatch):
+    shared = prose(500, 1, 14)
+    items = [(f"i{i}", shared + " " + prose(600 + i, 1, 9)) for i in range(40)] + [(None, shared), ("few", "few words only")]
+    texts = [(" " + shared) * 30, prose(1, 4), prose(610, 1, 9), None, "", "x few words only y " + shared]
+    rows = pa.array([t or "" for t in texts], pa.string())
+    block = decontaminate.ItemWindows(items)
+    keys, _, bounds, item, _ = block.by_length[13]
+    assert len(set(keys.tolist())) == len(keys) and max(bounds[1:] - bounds[:-1]) == 41 and len(item) > len(keys)
+    want = decontaminate._scanner(block)(rows)
+    assert want[2][0] == sorted(f"i{i}" for i in range(40)) and "few" in want[2][5] and want[2][1] == []
+    # every window of a length under one hash
+    monkeypatch.setattr(decontaminate, "windows", lambda hashes, n: np.zeros(max(0, len(hashes) - n + 1), np.uint64))
+    found = decontaminate._scanner(decontaminate.ItemWindows(items))(rows)
+    assert [list(map(list, c)) if i else list(c) for i, c in enumerate(found)] == [list(map(list, c)) if i else list(c) for i, c in enumerate(want)]
+
+
+def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
+    made, plain = [], decontaminate.shared_windows
+
+    def noted(docs, items, n):
+        assert not any(shared._jbroadcast.isValid() for shared in made)
+        made.append(plain(docs, items, n))
+        return made[-1]
+
+    monkeypatch.setattr(decontaminate, "shared_windows", noted)
+    bench = spark.createDataFrame([(i, prose(500 + i, 2, 12)) for i in range(6)], "item_id bigint, text string")
+    found = decontaminate.hits(frame(spark, [(1, prose(502, 2, 12)), (2, prose(1, 3))]), bench, ["doc_id"], block_bytes=400)
+    assert sorted((r["doc_id"], r["items"]) for r in found.collect()) == [(1, ["2"]), (2, [])] and len(made) > 2
+
+
 def test_decontamination_stage_drops_contaminated_documents(spark):
     bench = spark.createDataFrame([(1, prose(500, 2, 12))], "item_id bigint, text string")
     docs = frame(spark, [(1, prose(500, 2, 12)), (2, prose(2)), (None, None)]).withColumn("items", F.lit("clash"))

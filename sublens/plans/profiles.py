@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ def known_customers(tables, load_date, base: DataFrame | None = None) -> DataFra
     A job that runs several profiles writes the customer base once and passes it in as ``base``.
     """
     if base is None:
-        base = customer_base(tables, load_date)
+        # Cut off by a shuffle: else one task holds the sorts of the base and those of all later joins by account
+        # at once. By account alone it would be left out, since the base comes out of joins by account.
+        base = customer_base(tables, load_date).repartition("IN_ACCOUNT_NUMBER", "STATUS")
     customers = registered_customers(tables)
     return base.join(customers, base["IN_ACCOUNT_NUMBER"] == customers["account"], "left").drop("account")
 
@@ -70,17 +74,19 @@ def survey_latest(tables, load_date) -> DataFrame:
     return newest.select("score", "UID")
 
 
-def survey_counts(tables, load_date) -> DataFrame:
-    """How many answer rows each account has: all a pipeline needs that does not show the score."""
+def survey_counts(tables, load_date, by: Sequence[str] = ()) -> DataFrame:
+    """How many answer rows each account has, in all or for each value of ``by``: a pipeline repeats its rows by it."""
     per_campaign = tables["usabilla_campaigns"].groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("campaign_rows")
     )
-    answers = survey_answers(tables, load_date).groupBy("UID", "campaign_id").agg(F.count(F.lit(1)).alias("answers"))
+    answers = (
+        survey_answers(tables, load_date).groupBy("UID", "campaign_id", *by).agg(F.count(F.lit(1)).alias("answers"))
+    )
     rows = answers.join(per_campaign, "campaign_id", "left").withColumn(
         "answer_rows", F.col("answers") * F.coalesce("campaign_rows", F.lit(1))
     )
     return (
-        rows.groupBy(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"))
+        rows.groupBy(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), *by)
         .agg(F.sum("answer_rows").alias("answer_rows"))
     )
 
@@ -161,17 +167,13 @@ def status(
         .join(port_out_days(tables, day), "IN_ACCOUNT_NUMBER", "left")
         .join(account_limit_flags(tables), "CUST_LATEST_ID_NUMBER", "left")
     )
-    answers = survey_latest(tables, day) if newest_answer_only else survey_rows(tables, day)
-    scores = answers.select(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), "score")
     if newest_answer_only:
-        scored = complete.join(scores, "IN_ACCOUNT_NUMBER", "left")
+        scores = survey_latest(tables, day).select(number_key(F.col("UID")).alias("IN_ACCOUNT_NUMBER"), "score")
     else:
-        # An outer join cannot be split on the side that holds many rows of one key; an inner one can.
-        silent = complete.join(scores.select("IN_ACCOUNT_NUMBER"), "IN_ACCOUNT_NUMBER", "left_anti")
-        scored = complete.join(scores, "IN_ACCOUNT_NUMBER").unionByName(
-            silent, allowMissingColumns=True
-        )
-    return scored.select(
+        # An account's answers come as one row for each score; copies are made last, of the few columns shown.
+        scores = survey_counts(tables, day, by=["score"])
+    scored = complete.join(scores, "IN_ACCOUNT_NUMBER", "left")
+    shown = scored.select(
         "IN_ACCOUNT_NUMBER",
         F.col("STATUS").alias("CUSTOMER_STATUS"),
         F.col("CUST_DAYS_SINCE_LAST_ACTIVITY").alias("LAST_ACTIVITY_DATE"),
@@ -179,7 +181,11 @@ def status(
         "MAX_ACCOUNTS_LIMIT_FLAG",
         F.col("score").alias("CUSTOMER_SENTIMENT_SCORE"),
         F.col("score").alias("CUSTOMER_MOOD_SCORE_CSAT"),
+        *([] if newest_answer_only else ["answer_rows"]),
     )
+    if newest_answer_only:
+        return shown
+    return repeat_rows(shown, "answer_rows", by=["IN_ACCOUNT_NUMBER", "CUSTOMER_SENTIMENT_SCORE"])
 
 
 def duplicate_audit(tables, load_date, newest_answer_only: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import HandMade
 from sublens.plans import customer_base as base
@@ -119,6 +120,27 @@ def test_status_is_unique_and_the_audit_finds_repeated_answers(spark, rows):
     assert profiles.acquisition(tables, L).count() == 5
 
 
+def test_every_answer_is_a_row_and_many_answers_are_the_work_of_many_tasks(spark, rows):
+    tables = HandMade(
+        spark,
+        nobill_snapshot_subscription=[snap(22, 1), snap(22, 1), snap(33, 1), snap(None, 1), snap(44, 1)],
+        usabilla_data=[
+            *[{"score": n % 2, "extra_info": f"acct-0{33}", "_date": "2023-01-01 10:00:00", "campaign_id": "c"} for n in range(300)],
+            {"score": 9, "extra_info": "22", "_date": "2023-02-01 10:00:00", "campaign_id": "other"},
+            {"score": None, "extra_info": "22", "_date": "2023-02-01 10:00:00", "campaign_id": None},
+            {"score": None, "extra_info": "022", "_date": None, "campaign_id": None},
+            {"score": 5, "extra_info": "44", "_date": "2023-06-15 00:00:00", "campaign_id": "c"},
+        ],
+        usabilla_campaigns=[{"campaign_id": "c"}] * 200 + [{"campaign_id": None}] * 7,
+    )
+    every = profiles.status(tables, L, newest_answer_only=False)
+    assert rows(every.groupBy("IN_ACCOUNT_NUMBER", "CUSTOMER_SENTIMENT_SCORE", "CUSTOMER_MOOD_SCORE_CSAT").count()) == sorted([
+        (22, 9, 9, 2), (22, None, None, 4), (33, 0, 0, 30000), (33, 1, 1, 30000), (44, None, None, 1), (None, None, None, 1),
+    ], key=lambda t: tuple((v is None, str(v)) for v in t))
+    made = every.where("IN_ACCOUNT_NUMBER = 33").groupBy(F.spark_partition_id()).count().collect()
+    assert len(made) > 3 and max(r["count"] for r in made) < 30000
+
+
 def test_master_without_registration_is_ignored(spark, rows):
     tables = HandMade(
         spark,

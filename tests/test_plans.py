@@ -86,3 +86,25 @@ def test_only_lookups_are_collapsed_by_sorting(spark, no_broadcast, name):
     # the greatest name per network and the account of a number; messages are never sorted for their newest
     sorting = [line for line in plan_of(queries()[name](spark, SF_DIR)).splitlines() if "SortAggregate" in line]
     assert all("max(country#" in line or "max(IN_ACCOUNT_NUMBER#" in line for line in sorting), sorting
+
+
+def sorts_of_stages(plan: str) -> list[int]:
+    """How many sorts the tasks of each stage hold: nodes with no exchange between them are one stage."""
+    above, sorts = [], [0]
+    for line in plan.splitlines():
+        found = re.match(r"[\s:+-]*(\(\d+\) )?", line)
+        depth, node = len(found[0]), line[found.end() :]
+        above = [(d, stage) for d, stage in above if d < depth]
+        stage = above[-1][1] if above else 0
+        if node.startswith("Sort "):
+            sorts[stage] += 1
+        if node.startswith("Exchange"):
+            stage = len(sorts)
+            sorts.append(0)
+        above.append((depth, stage))
+    return sorts
+
+
+@pytest.mark.parametrize("name", ["status_all_answers", "status", "acquisition", "demographics"])
+def test_no_task_holds_the_sorts_of_the_base_and_of_all_joins_to_it(spark, no_broadcast, name):
+    assert max(sorts_of_stages(plan_of(queries()[name](spark, SF_DIR)))) <= 6

@@ -45,6 +45,13 @@ class DateList:
         starts = [self.starts[w][0] for w in self.names]
         return (None if None in starts else min(starts)), max(self.ends[w][-1] for w in self.names)
 
+    def clamped(self, on: Column) -> Column:
+        """The day, or one that stands for all days before or behind every edge; those take part in the same windows.
+
+        Summed by it, a key has no more rows than there are days between the edges, however long its history is.
+        """
+        return F.least(F.greatest(on, F.lit(self.first - timedelta(days=1))), F.lit(self.last))
+
     def enters(self, window: str, on: Column) -> Column:
         """Place of the first load date whose window has its end behind the day."""
         return self._place(on, lambda day: bisect_right(self.ends[window], day))
@@ -67,6 +74,14 @@ class DateList:
         return F.get(F.lit([at(day) for day in days]), inside)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle by ``keys`` into a fixed number of partitions, which adaptive execution does not merge.
+
+    It would merge by compressed bytes, which tell little of the memory that many wide sums per row take.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def totals_over_dates(
     days: DataFrame,
     keys: Sequence[str],
@@ -79,8 +94,9 @@ def totals_over_dates(
 ) -> DataFrame:
     """Keys, load_date, ``<measure>_<window>`` for the measures of each window, and both columns of ``newest``.
 
-    ``days`` holds sums per key and day ``on`` (or several rows of a day, which are added up). A key has a row for
-    a load date if any of its rows lies in the window ``present``. ``newest`` names a value and its order, a
+    ``days`` holds sums per key and day ``on`` (or several rows of a day, which are added up). These narrow rows are
+    shuffled by key, once: the wide sums per key and load date are made and run over in the same task.
+    A key has a row for a load date if any of its rows lies in the window ``present``. ``newest`` names a value and its order, a
     number that grows with the day: the value of the last row in ``present`` is given.
     ``known`` names a day after which a row may first be seen: it counts from the next load date on.
     """
@@ -96,7 +112,7 @@ def totals_over_dates(
             events.append(F.when(counts & (at < n), event))
     wanted = sorted({m for ms in measures.values() for m in ms})
     carried = list(newest or ())
-    dealt = days.select(*keys, *wanted, *carried, F.explode(F.array_compact(F.array(*events))).alias("__e")).select(
+    dealt = spread(days, *keys).select(*keys, *wanted, *carried, F.explode(F.array_compact(F.array(*events))).alias("__e")).select(
         *keys, *carried, "__e.*", *[F.when(F.col("__e.__adds"), F.col(m)).otherwise(-F.col(m)).alias(m) for m in wanted]
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sublens.functions.decode import purchase_profile
 from sublens.functions.helpers import as_double, flag, latest, total, window_total
 from sublens.load_date import LoadDate, within
-from sublens.operators.rolling import DateList, totals_over_dates
+from sublens.operators.rolling import DateList, spread, totals_over_dates
 
 # Fixed values.
 EVENT_GROUPS = ["Booster", "Roaming"]
@@ -71,10 +71,12 @@ def _times(amount: Column, rows: str) -> Column:
     return amount.cast("decimal(28,10)") * F.coalesce(rows, F.lit(0)).cast("decimal(9,0)")
 
 
-def booster_events(tables, load_date) -> DataFrame:
+def booster_events(tables, load_date, dates: DateList | None = None) -> DataFrame:
     """Booster and roaming events before L per account, day and kind, with their quantity by both ways of
-    counting: ``quantity`` goes by the event's own service type, ``filed_<kind>`` by the service file."""
+    counting: ``quantity`` goes by the event's own service type, ``filed_<kind>`` by the service file.
+    With ``dates``, days that no window of any load date tells apart are one day."""
     day = LoadDate.of(load_date)
+    on = F.col("EVENT_IN_DATE")
     booster = F.col("EVENT_IN_EVENT_GROUP") == "Booster"
     quantity = F.when(booster, F.col("quantity")).otherwise(0)
     # summed by all that is looked at before the lookup, so that no event id is hot
@@ -83,7 +85,7 @@ def booster_events(tables, load_date) -> DataFrame:
         .where(F.col("EVENT_IN_EVENT_GROUP").isin(EVENT_GROUPS))
         .groupBy(
             "EVENT_IN_ACCOUNT_NUMBER",
-            "EVENT_IN_DATE",
+            (dates.clamped(on) if dates else on).alias("event_date"),
             "EVENT_IN_EVENT_ID",
             "EVENT_IN_EVENT_GROUP",
             "EVENT_IN_SERVICE_TYPE",
@@ -94,7 +96,7 @@ def booster_events(tables, load_date) -> DataFrame:
         summed.join(kinds_per_event(tables), "EVENT_IN_EVENT_ID", "left")
         .select(
             F.col("EVENT_IN_ACCOUNT_NUMBER").alias("IN_ACCOUNT_NUMBER"),
-            F.col("EVENT_IN_DATE").alias("event_date"),
+            "event_date",
             F.when(booster, F.col("EVENT_IN_SERVICE_TYPE")).alias("kind"),
             quantity.alias("quantity"),
             *[_times(quantity, f"rows_{label}").alias(f"filed_{label}") for label in KINDS],
@@ -174,7 +176,7 @@ def booster_purchases_over_dates(tables, load_dates: Sequence) -> DataFrame:
     ]
     filed = [F.sum(f"filed_{label}").alias(f"filed_{label}") for label in KINDS]
     days = (
-        booster_events(tables, dates.dates[-1])
+        spread(booster_events(tables, dates.dates[-1], dates), "IN_ACCOUNT_NUMBER", "event_date")
         .groupBy("IN_ACCOUNT_NUMBER", "event_date")
         .agg(F.count(F.lit(1)).alias("events"), *own, *filed)
     )

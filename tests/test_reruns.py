@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.binding import ORDERS_L, orders_tables, usage_tables
 from checks.reruns import LOAD_DATES
+from fixtures import HandMade
 from sublens.operators.daily_state import DailyState
 from sublens.operators.rolling import DateList, following, totals_over_dates
 from sublens.plans import booster, payments, usage
@@ -117,6 +118,50 @@ def test_thirty_dates_scan_as_often_as_one(spark, tables_of, many, single):
     assert "SortAggregate" not in thirty
 
 
+@pytest.mark.parametrize(
+    "tables_of, many",
+    [
+        (orders_tables, payments.wallet_recharges_over_dates),
+        (usage_tables, usage.usage_over_dates),
+        (orders_tables, booster.booster_purchases_over_dates),
+    ],
+)
+def test_wide_sums_are_dealt_over_all_tasks_and_not_shuffled(spark, tables_of, many):
+    report = many(tables_of(spark, SF_DIR), LOAD_DATES)
+    # one shuffle by account in front of the sums; its few bytes here would else be merged into one task
+    assert report.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wide = [line for line in plan_of(report).splitlines() if "Exchange" in line and "__at" in line]
+    assert wide == []
+
+
+def test_days_that_no_window_tells_apart_are_one_row(spark):
+    dates = DateList([plus(0), plus(3)], lambda d: {"life": (None, d), "week": (d - timedelta(days=7), d)})
+    days = spark.createDataFrame([(plus(n),) for n in (-900, -8, -7, -1, 2, 3, 50)] + [(None,)], "on date")
+    place = [f(w, F.col(on)) for on in ("on", "day") for w in ("life", "week") for f in (dates.enters, dates.leaves)]
+    found = days.withColumn("day", dates.clamped(F.col("on"))).select("on", "day", F.array(*place).alias("p")).collect()
+    assert all(r["p"][:4] == r["p"][4:] for r in found)
+    assert {r["on"]: r["day"] for r in found} == {
+        plus(-900): plus(-8), plus(-8): plus(-8), plus(-7): plus(-7), plus(-1): plus(-1), plus(2): plus(2),
+        plus(3): plus(3), plus(50): plus(3), None: plus(-8),
+    }
+    tables = HandMade(
+        spark,
+        event_in_booster=[
+            {"EVENT_IN_ACCOUNT_NUMBER": "1", "EVENT_IN_DATE": on, "EVENT_IN_EVENT_ID": "7", "EVENT_IN_EVENT_GROUP": "Booster",
+             "EVENT_IN_SERVICE_TYPE": "DATA", "EVENT_IN_TOTAL_QUANTITY": 1}
+            for on in [plus(-n) for n in range(1, 400)]
+        ],
+        po_service_file=[{"EXCEL_SERVICE_EVENT_ID": "7", "EXCEL_SERVICE_TYPE": "DATA"}],
+    )
+    asked = [plus(-20), plus(0)]
+    moving = DateList(asked, booster._dated_windows)
+    assert booster.booster_events(tables, asked[-1], moving).count() < 130
+    many = booster.booster_purchases_over_dates(tables, asked)
+    for day in asked:
+        one = booster.booster_purchases(tables, day)
+        assert many.where(F.col("load_date") == F.lit(day)).select(one.columns).collect() == one.collect() != []
+
+
 def test_carried_usage_equals_full_runs_over_a_month_change(spark, tmp_path):
     tables = usage_tables(spark, SF_DIR)
     state = usage.usage_state(spark, str(tmp_path / "state"))

@@ -2,19 +2,23 @@
 
 Sizes are cut into bands, so that a partner of a set lies in its own band or a neighbouring one. Two
 sets of a band pair can differ in at most d shingles. Each set is dealt by hash into k > d parts, so
-any two linked sets agree in some part; k leaves room for parts that are empty, and a set with more
-empty parts than that room is dealt once more with a larger k. A part becomes one key: sets that
-share a key are candidates, all others cannot link.
+any two linked sets agree in some part; k leaves room for weak parts, and a set with more weak parts
+than that room is dealt once more with a larger k. Empty parts are weak, and so are parts of one
+shingle while larger ones are enough: a passage that many texts hold fills such parts alone and would
+chain unlike texts into groups that grow faster than the table. A part that is not weak becomes one key:
+sets that share a key are candidates, all others cannot link.
 
 Candidates go into tiles. In a tile every set is compared with the bit signatures of the sets of fitting
 size: each differing bit stands for a different shingle, so bit counts bound the overlap from above.
 Only pairs that pass and are not connected yet get the exact intersection of their sorted arrays. A
-tile returns the links that connect its sets, never all pairs. Groups too large for a tile are cut by
-band and hash: first each piece with a few sets of its group in common, then, only where the group is
+tile returns the links that connect its sets, never all pairs. Groups too large for a tile are dealt into
+other parts by another hash, as linked sets share a key of every dealing: what chained unlike sets by chance
+rarely does so again. Where that no longer helps, they are cut by band and hash: first each piece with a few sets of its group in common, then, only where the group is
 still in several components, pairs of pieces.
 
-Copies of one set are joined by the set's hash, pre-aggregated, and do not meet in tiles but for one
-copy per task. Sets are 64-bit shingle hashes; exactness is up to collisions of these.
+Copies of one set are joined by the set's hash, pre-aggregated. Only the smallest document of a set
+meets others in tiles; a bitmap keeps most other copies from making keys. Sets are 64-bit shingle
+hashes; exactness is up to collisions of these.
 
 Defined cases: without words or text a set is empty and links with nothing; fewer words than ``n`` make
 one shingle. Rows that share a doc_id are one document that links with what any of them links with.
@@ -44,7 +48,8 @@ OF, PER = 85, 100
 # Shingles in a tile (16 MB of hashes); pieces of large groups are about half as large.
 TILE = 2 << 20
 BITS = 2048
-SEEN = 50_000
+# Differing shingles from which on parts of one shingle are weak.
+SINGLES = 8
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -97,47 +102,46 @@ class Bands:
         return both - -(-2 * self.of * both // (self.of + self.per))
 
 
-def part_keys(shingles: np.ndarray, bands: Bands) -> list[np.ndarray]:
+def part_keys(shingles: np.ndarray, bands: Bands, dealing: int = 0) -> list[np.ndarray]:
     """Keys of one set: as the smaller of a pair in its own band, as the larger in the band below."""
     out = []
+    dealt = (mixed(shingles + np.uint64(dealing)) if dealing else shingles) >> np.uint64(32)
     spread = mixed(shingles ^ np.uint64(0x5851F42D4C957F2D))
     own = bands.band(len(shingles))
     for band in {own, max(0, own - 1)}:
-        d, room, level = bands.differences(band), 2, 0
+        d, level = bands.differences(band), 0
         if not d:
             continue  # only equal sets link
+        few = d < SINGLES
         while True:
+            # of two linked sets both or neither have a weak part where they agree, and they agree in
+            # room + 1 parts: one is not weak unless both sets have more weak parts than room
+            least, room = (1, 2 * 4**level) if few or level > 1 else (2, (d // 8 + 2, d // 3 + 4)[level])
             k = d + 1 + room
-            part = (((shingles >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
+            part = ((dealt * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
             filled = np.bincount(part, minlength=k)
             sums = sum(
                 np.bincount(part, (half & np.uint64(0xFFFFFFFF)).astype(float), k).astype(np.uint64) << np.uint64(s)
                 for s, half in ((0, spread), (32, spread >> np.uint64(32)))
             )
             tag = np.uint64((band << 40) + (level << 32)) + np.arange(k, dtype=np.uint64)
-            out.append(mixed(sums + mixed(tag))[filled > 0])
-            if k - np.count_nonzero(filled) <= room:
+            out.append(mixed(sums + mixed(tag))[filled >= least])
+            if np.count_nonzero(filled < least) <= room:
                 break
-            room, level = room * 4, level + 1
+            level += 1
     return out
 
 
-def keyed(docs: DataFrame, n: int, of: int, per: int) -> DataFrame:
-    """key, doc_id of every part. A set that the task has just met is passed over."""
+def keyed(docs: DataFrame, n: int, of: int, per: int, dealing: int = 0) -> DataFrame:
+    """key, doc_id of every part that is not weak."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, met = Bands(of, per), set()
+        bands = Bands(of, per)
         for batch in batches:
             for part in slices(batch, 1):
                 keys, rows = [], []
                 for row, shingles in enumerate(shingle_sets(part.column(1), n)):
-                    name = (len(shingles), int(shingles[:1].sum()), int(mixed(shingles).sum(dtype=np.uint64)))
-                    if not len(shingles) or name in met:
-                        continue
-                    if len(met) >= SEEN:
-                        met.clear()
-                    met.add(name)
-                    for found in part_keys(shingles, bands):
+                    for found in part_keys(shingles, bands, dealing) if len(shingles) else ():
                         keys.append(found)
                         rows.append(np.full(len(found), row))
                 if keys:
@@ -148,10 +152,12 @@ def keyed(docs: DataFrame, n: int, of: int, per: int) -> DataFrame:
     return docs.filter("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
 
 
-def candidates(docs: DataFrame, n: int, of: int, per: int) -> DataFrame:
-    """Edges from every document of a key to the key's smallest document."""
-    parts = keyed(docs, n, of, per)
-    least = F.min("doc_id").over(Window.partitionBy("key"))
+def candidates(docs: DataFrame, n: int, of: int, per: int, dealing: int = 0, groups: DataFrame | None = None) -> DataFrame:
+    """Edges from every document of a key to the key's smallest document, inside ``groups`` (doc_id, root)."""
+    parts, key = keyed(docs, n, of, per, dealing), ["key"]
+    if groups is not None:
+        parts, key = parts.join(groups, "doc_id"), ["key", "root"]
+    least = F.min("doc_id").over(Window.partitionBy(*key))
     return parts.withColumn("least", least).filter("doc_id <> least").select("doc_id", "least").distinct()
 
 
@@ -219,32 +225,46 @@ def tiles_joined(rows: DataFrame, n: int, of: int, per: int) -> DataFrame:
 
 
 def links(docs: DataFrame, sizes: DataFrame, n: int, of: int, per: int, tile: int = TILE) -> DataFrame:
-    """Links between different sets that connect whatever is linked. ``sizes``: doc_id, n_shingles."""
+    """Links between different sets that connect whatever is linked.
+
+    ``sizes``: doc_id, n_shingles of a document of each set; the others are left out.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    near = written(candidates(docs, n, of, per), "jaccard-candidates")
-    groups = component_labels(near.select("doc_id", "least"), "jaccard-groups")
-    members = groups.join(sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("n")), groups["node"] == F.col("doc_id"))
-    weights = members.groupBy("root").agg(F.sum("n").alias("weight"))
+    full = docs.select("doc_id", "text").filter("doc_id is not null")
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(per / of)).cast("int")
-    placed = written(
-        members.join(weights, "root").select("doc_id", "root", "weight", band.alias("band"), "n"), "jaccard-members"
-    )
-    texts = maybe_members(docs.select("doc_id", "text").filter("doc_id is not null"), placed)
+
+    def grouped(among: DataFrame, *dealt) -> tuple[DataFrame, DataFrame, int]:
+        near = written(candidates(maybe_members(full, among), n, of, per, *dealt), "jaccard-candidates", keep_shuffles=False)
+        groups = component_labels(near.select("doc_id", "least"), "jaccard-groups")
+        members = groups.join(sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("n")), groups["node"] == F.col("doc_id"))
+        weights = members.groupBy("root").agg(F.sum("n").alias("weight"))
+        placed = written(
+            members.join(weights, "root").select("doc_id", "root", "weight", band.alias("band"), "n"), "jaccard-members"
+        )
+        over = placed.filter(F.col("weight") > tile)
+        return placed.filter(F.col("weight") <= tile), over, over.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+    small, large, load = grouped(sizes)
+    before, dealing = 2 * load, 0
+    while load and 4 * load <= 3 * before:
+        before, dealing = load, dealing + 1
+        more, large, load = grouped(large, dealing, large.select("doc_id", "root"))
+        small = small.unionByName(more)
 
     def found(rows: DataFrame) -> DataFrame:
         # a table that grows with the documents; the same join at every size
-        return tiles_joined(texts.join(rows.hint("merge"), "doc_id"), n, of, per)
+        tiled = maybe_members(full, rows).join(rows.hint("merge"), "doc_id")
+        return written(tiles_joined(tiled, n, of, per), "jaccard-links", keep_shuffles=False)
 
     none = F.lit(None)
-    whole = placed.filter(F.col("weight") <= tile).select(
+    whole = small.select(
         F.struct("root", F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(0).alias("z"), F.lit(0).alias("w")).alias("tile"),
         "doc_id",
         none.cast(kind).alias("known"),
         none.cast("string").alias("piece"),
     )
-    done = written(found(whole), "jaccard-links")
-    large = placed.filter(F.col("weight") > tile)
-    if large.isEmpty():
+    done = found(whole)
+    if not load:
         return done
     # pieces of half a tile at most, by band and hash
     loads = large.groupBy("root", "band").agg(F.sum("n").alias("load"), F.min("doc_id").alias("pivot"))
@@ -264,7 +284,7 @@ def links(docs: DataFrame, sizes: DataFrame, n: int, of: int, per: int, tile: in
         none.cast(kind).alias("known"),
         none.cast("string").alias("piece"),
     )
-    near_links = written(found(first), "jaccard-links")
+    near_links = found(first)
     parts = component_labels(near_links, "jaccard-parts")
     state = cut.join(
         parts.select("node", F.col("root").alias("known_root")), cut["doc_id"] == F.col("node"), "left"
@@ -287,7 +307,7 @@ def links(docs: DataFrame, sizes: DataFrame, n: int, of: int, per: int, tile: in
         "known",
         F.concat_ws("/", "band", "sub").alias("piece"),
     )
-    return done.unionByName(near_links).unionByName(written(found(second), "jaccard-links"))
+    return done.unionByName(near_links).unionByName(found(second))
 
 
 def jaccard_components(docs: DataFrame, n: int = N, of: int = OF, per: int = PER, tile: int = TILE) -> DataFrame:
@@ -295,9 +315,12 @@ def jaccard_components(docs: DataFrame, n: int = N, of: int = OF, per: int = PER
     plain = docs.select("doc_id", "text")
     sets = written(signatures(plain, n), "jaccard-sets")
     full = sets.filter("n_shingles > 0 and doc_id is not null")
-    least = full.groupBy("n_shingles", "set1", "set2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    least = written(
+        full.groupBy("n_shingles", "set1", "set2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")),
+        "jaccard-distinct",
+    )
     copies = full.join(least.filter("copies > 1"), ["n_shingles", "set1", "set2"]).select("doc_id", "least")
-    between = links(plain, full.select("doc_id", "n_shingles"), n, of, per, tile)
+    between = links(plain, least.select(F.col("least").alias("doc_id"), "n_shingles"), n, of, per, tile)
     labels = component_labels(
         copies.toDF("a", "b").unionByName(between), "jaccard-components"
     )

@@ -15,11 +15,26 @@ def folder(spark: SparkSession) -> str:
     return shared_folder(spark)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a stored table: computed once, read again after the loss of any executor."""
+# Spark removes the shuffle files of a query when it ends, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, keep_shuffles: bool = True) -> DataFrame:
+    """``df`` as a stored table: computed once, read again after the loss of any executor.
+
+    ``keep_shuffles=False`` is for large shuffles: their files go with the end of the write.
+    """
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if keep_shuffles:
+        df.write.parquet(path)
+    else:
+        before = spark.conf.get(CLEANUP)
+        spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.set(CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sublens.llm import bpe, decontaminate, jaccard, suffix
+from sublens.llm import bpe, decontaminate, jaccard, scratch, suffix
 from tests.llm.rows import SCHEMA, changed, frame, odd_rows, prose
 
 ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
@@ -63,6 +64,71 @@ def test_parts_of_linked_sets_always_share_a_key():
             assert differ == 0 or keys[0] & keys[1]
 
 
+def test_linked_sets_of_unlike_sizes_share_a_key_and_a_common_passage_makes_few():
+    rng, bands = np.random.default_rng(4), jaccard.Bands(85, 100)
+    keys = lambda x: np.concatenate(jaccard.part_keys(np.unique(x), bands) or [np.zeros(0, np.uint64)])
+    draw = lambda n: rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
+    for size in [40, 47, 60, 100, 155, 300, 700]:
+        for _ in range(20):
+            whole = draw(size)
+            assert set(keys(whole).tolist()) & set(keys(whole[size * 15 // 100 :]).tolist())
+    # a line of ten shingles in otherwise unlike sets; parts that one of these fills alone would chain them
+    held = 0
+    for _ in range(4):
+        line = draw(10)
+        holders = Counter(k for _ in range(400) for k in set(keys(np.concatenate([line, draw(190)])).tolist()))
+        held += sum(n for n in holders.values() if n > 1)
+    assert held < 130
+
+
+def test_a_group_by_chance_does_not_outlast_another_dealing(spark, monkeypatch):
+    loads, plain = [], jaccard.tiles_joined
+
+    def noted(rows, *rest):
+        loads.append(rows.select("doc_id").distinct().count())
+        return plain(rows, *rest)
+
+    monkeypatch.setattr(jaccard, "tiles_joined", noted)
+    line = prose(999, 1, 13)
+    rows = [(i, prose(2000 + i, 3, 8) + " " + line) for i in range(250)] + [(1000 + i, changed(prose(3, 8), i, 1)) for i in range(4)]
+    found = jaccard.jaccard_components(frame(spark, rows), tile=600).collect()
+    assert Counter(tuple(r) for r in found) == brute_components(rows)
+    assert sum(loads) < 60
+
+
+@pytest.mark.parametrize("tile", [jaccard.TILE, 600])
+def test_one_document_of_a_set_meets_others_in_tiles(spark, monkeypatch, tile):
+    met, plain = [], jaccard.tiles_joined
+
+    def noted(rows, *rest):
+        met.extend(r[0] for r in rows.select("doc_id").collect())
+        return plain(rows, *rest)
+
+    monkeypatch.setattr(jaccard, "tiles_joined", noted)
+    base = prose(1, 10)
+    near = [(1000 * i, changed(base, i, 1 + i % 3)) for i in range(1, 7)]
+    rows = [(d + k, t) for d, t in near for k in range(8)] + [(9000 + k, prose(2, 8)) for k in range(20)] + odd_rows()
+    # copies lie in other tasks than the first of them
+    docs = frame(spark, sorted(rows, key=lambda r: (r[0] or 0) % 1000)).repartition(16)
+    found = jaccard.jaccard_components(docs, tile=tile).collect()
+    assert Counter(tuple(r) for r in found) == brute_components(rows)
+    assert set(met) == {d for d, _ in near}
+
+
+def test_shuffle_files_go_with_the_end_of_a_write(spark):
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    before, mode = files(), spark.conf.get(scratch.CLEANUP)
+    table = spark.range(1000).groupBy(F.expr("id % 7").alias("k")).count()
+    scratch.written(table, "kept")
+    assert files() - before
+    before, gone = files(), scratch.written(table, "gone", keep_shuffles=False)
+    assert spark.conf.get(scratch.CLEANUP) == mode
+    until = time.time() + 30
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and gone.count() == 7
+
+
 def test_jaccard_stage_keeps_one_of_each_group(spark):
     docs = frame(spark, [r for r in near_rows() if r[0] is not None]).withColumn("component_id", F.lit(0))
     out = jaccard.stage(docs)
